@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import table
 from .copies import collapse, copy_members
+from .groups import membership_groups
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -20,7 +21,11 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
     return groups.select("keep_id", "copies")
 
 
-QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return membership_groups(table(spark, d, "corpus_memberships")).filter("records > 1").select("partition_id", "membership_token", "group_key")
+
+
+QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts, "p6_found": p6_found}
 
 
 def _field(f: str) -> str:
@@ -30,7 +35,16 @@ def _field(f: str) -> str:
 
 _COPIES = f"WITH c AS (SELECT record_id, concat_ws(chr(31), {', '.join(map(_field, ('expediente', 'sala', 'tipo', 'fecha')))}) AS k FROM composite_records), g AS (SELECT record_id, min(record_id) OVER (PARTITION BY k) AS keep_id FROM c)"
 
+_KEY = "right(regexp_replace(lower({0}), '[^0-9a-f]', '', 'g'), 32)"
+_DASHED = "regexp_replace({0}, '(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})', '\\1-\\2-\\3-\\4-\\5')"
+
 SQL = {
+    "p6_found": f"""WITH RECURSIVE s AS (SELECT DISTINCT partition_id || '|' || {_KEY.format("membership_token")} AS r, unnest([{_KEY.format("document_uuid")}, {_KEY.format("pdf_uuid")}]) AS u FROM corpus_memberships),
+e AS (SELECT r, u FROM s WHERE u IS NOT NULL), m AS (SELECT r, u, min(u) OVER (PARTITION BY r) AS f FROM e),
+n AS (SELECT f AS a, u AS b FROM m UNION SELECT u, f FROM m),
+c(node, label) USING KEY (node) AS (SELECT DISTINCT a, a FROM n UNION SELECT n.b, min(c.label) FROM c JOIN n ON n.a = c.node JOIN recurring.c AS o ON o.node = n.b WHERE c.label < o.label GROUP BY n.b),
+g AS (SELECT DISTINCT m.r, c.label FROM m JOIN c ON c.node = m.f), k AS (SELECT *, count(*) OVER (PARTITION BY label) AS n FROM g)
+SELECT split_part(r, '|', 1) AS partition_id, {_DASHED.format("split_part(r, '|', 2)")} AS membership_token, {_DASHED.format("label")} AS group_key FROM k WHERE n > 1""",
     "p2_found": f"{_COPIES} SELECT keep_id, record_id AS dup_id FROM g WHERE record_id <> keep_id",
     "p2_counts": f"{_COPIES} SELECT keep_id, count(*) AS copies FROM g GROUP BY keep_id",
 }
