@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..runtime import table
 from .copies import collapse, copy_members
 from .groups import membership_groups
+from .lookalikes import judged_fields, repaired_fields
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -21,11 +22,23 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
     return groups.select("keep_id", "copies")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return judged_fields(table(spark, d, "list_records"), "record_id", ("sala", "sumilla"), table(spark, d, "chambers")).filter("is_case").select("record_id", "field_name")
+
+
+def p5_chambers(spark: SparkSession, d: str) -> DataFrame:
+    """Every record's chamber by its repaired name; null where no clean name is equal."""
+    names = table(spark, d, "chambers")
+    clean = repaired_fields(table(spark, d, "list_records"), "record_id", ("sala",), names)
+    known = names.select("chamber_id", F.upper(F.trim(F.regexp_replace("sala", r"\s+", " "))).alias("match_key"))
+    return clean.join(known, "match_key", "left").select("record_id", "clean_text", "chamber_id")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return membership_groups(table(spark, d, "corpus_memberships")).filter("records > 1").select("partition_id", "membership_token", "group_key")
 
 
-QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts, "p6_found": p6_found}
+QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts, "p5_found": p5_found, "p5_chambers": p5_chambers, "p6_found": p6_found}
 
 
 def _field(f: str) -> str:
