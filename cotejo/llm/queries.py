@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from ..runtime import table
 from .copies import collapse, copy_members
 from .groups import membership_groups
+from .history import history_pairs
 from .lookalikes import judged_fields, repaired_fields
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = history_pairs(table(spark, d, "documents"))
+    return pairs.select(F.least("a", "b").alias("doc_id_a"), F.greatest("a", "b").alias("doc_id_b"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     groups, hashed = collapse(table(spark, d, "composite_records"), "record_id")
     return copy_members(hashed, groups)
@@ -38,7 +44,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return membership_groups(table(spark, d, "corpus_memberships")).filter("records > 1").select("partition_id", "membership_token", "group_key")
 
 
-QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts, "p5_found": p5_found, "p5_chambers": p5_chambers, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p5_found": p5_found, "p5_chambers": p5_chambers, "p6_found": p6_found}
 
 
 def _field(f: str) -> str:
