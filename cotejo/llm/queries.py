@@ -9,6 +9,7 @@ from ..runtime import table
 from .copies import collapse, copy_members
 from .groups import membership_groups
 from .history import history_pairs
+from .languages import document_languages, mislabelled, passages
 from .lookalikes import judged_fields, repaired_fields
 
 
@@ -44,7 +45,21 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return membership_groups(table(spark, d, "corpus_memberships")).filter("records > 1").select("partition_id", "membership_token", "group_key")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p5_found": p5_found, "p5_chambers": p5_chambers, "p6_found": p6_found}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return mislabelled(passages(table(spark, d, "documents")))
+
+
+def p10_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's languages with their shares and confidence."""
+    return document_languages(passages(table(spark, d, "documents")))
+
+
+def p10_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Every passage in one language with its place and confidence."""
+    return passages(table(spark, d, "documents")).drop("named")
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p5_found": p5_found, "p5_chambers": p5_chambers, "p6_found": p6_found, "p10_found": p10_found, "p10_documents": p10_documents, "p10_passages": p10_passages}
 
 
 def _field(f: str) -> str:

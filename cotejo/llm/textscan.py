@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -64,6 +66,16 @@ def _points(text: str, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np
     return cps, lead[off - off[0]]
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches cut where the texts of a column pass ``limit`` bytes, so that the arrays over their characters stay small."""
+    for b in batches:
+        size = pa.compute.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size) // limit
+        cuts = np.append(0, np.flatnonzero(np.diff(part)) + 1) if len(part) else np.zeros(0, np.int64)
+        for lo, hi in zip(cuts, np.append(cuts[1:], b.num_rows), strict=True):
+            yield b.slice(int(lo), int(hi - lo))
+
+
 @dataclass
 class Words:
     """Words of a batch: 64-bit hash of each, and where the words of each text start."""
@@ -72,9 +84,25 @@ class Words:
     starts: np.ndarray
 
 
+def joined_lines(cps: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words divided by a hyphen at the end of a line made whole again."""
+    if len(cps) < 4:
+        return cps, off
+    word, _ = _tables()
+    cut = np.flatnonzero((cps[1:-1] == 45) & (cps[2:] == 10)) + 1
+    cut = cut[(cut + 2 < len(cps))]
+    if not len(cut):
+        return cps, off
+    letter = lambda c: word[np.where(c < 0x10000, c, 0)] & ~((c >= 48) & (c <= 57))
+    cut = cut[letter(cps[cut - 1]) & letter(cps[cut + 2])]
+    gone = np.zeros(len(cps), bool)
+    gone[cut] = gone[cut + 1] = True
+    return cps[~gone], off - np.append(0, np.cumsum(gone))[off]
+
+
 def words_of(texts: pa.Array) -> Words:
     """Words compared without letter case, punctuation, spacing and line breaks: runs of letters and digits, in lower case."""
-    cps, off = code_points(texts)
+    cps, off = joined_lines(*code_points(texts))
     word, low = _tables()
     if not len(cps):
         return Words(np.zeros(0, np.uint64), np.zeros(len(off), np.int64))
