@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import table
+from ..runtime import materialize, table
 from .copies import collapse, copy_members
 from .groups import membership_groups
 from .history import history_pairs
 from .languages import document_languages, mislabelled, passages
 from .lookalikes import judged_fields, repaired_fields
+from .mixing import mix, share_report
+from .packing import fill_report, pack
+from .tokens import token_sizes
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -45,6 +48,31 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return membership_groups(table(spark, d, "corpus_memberships")).filter("records > 1").select("partition_id", "membership_token", "group_key")
 
 
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every text in containers of every capacity."""
+    return pack(token_sizes(table(spark, d, "documents")), table(spark, d, "container_capacities"))
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers are."""
+    return fill_report(p8_containers(spark, d), table(spark, d, "container_capacities"))
+
+
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
+    return materialize(token_sizes(table(spark, d, "documents")), "token-sizes")
+
+
+def p9_selection(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture, one row per copy of a document."""
+    return mix(_sizes(spark, d), table(spark, d, "mixture_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares wanted and reached."""
+    sizes, targets = _sizes(spark, d), table(spark, d, "mixture_targets")
+    return share_report(mix(sizes, targets), sizes, targets)
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return mislabelled(passages(table(spark, d, "documents")))
 
@@ -59,7 +87,7 @@ def p10_passages(spark: SparkSession, d: str) -> DataFrame:
     return passages(table(spark, d, "documents")).drop("named")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p5_found": p5_found, "p5_chambers": p5_chambers, "p6_found": p6_found, "p10_found": p10_found, "p10_documents": p10_documents, "p10_passages": p10_passages}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p5_found": p5_found, "p5_chambers": p5_chambers, "p6_found": p6_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_selection": p9_selection, "p9_shares": p9_shares, "p10_found": p10_found, "p10_documents": p10_documents, "p10_passages": p10_passages}
 
 
 def _field(f: str) -> str:
