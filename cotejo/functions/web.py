@@ -75,7 +75,8 @@ def retry_after_ms(header: Column | str, now: Column) -> Column:
     """Milliseconds to wait by a Retry-After header: seconds, or a date held against ``now``; null where it is neither."""
     text = F.trim(_col(header))
     when = F.try_to_timestamp(F.substring(text, 6, 64), F.lit("dd MMM yyyy HH:mm:ss zzz"))
-    return F.when(text.rlike(r"^\d+$"), text.try_cast("long") * 1000).otherwise(F.greatest(F.lit(0), F.unix_millis(when) - F.unix_millis(now)))
+    seconds = text.rlike(r"^\d+$")
+    return F.when(seconds, text.try_cast("long") * 1000).when(when.isNotNull(), F.greatest(F.lit(0), F.unix_millis(when) - F.unix_millis(now)))
 
 
 def backoff_cap_ms(attempt: Column | str, base_ms: int, most_ms: int) -> Column:
