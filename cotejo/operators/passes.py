@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
+
 
 def first_seen(sightings: DataFrame, keys: Sequence[str], version: str = "pass") -> DataFrame:
     """(keys..., first_pass, last_pass, sightings)."""
@@ -34,9 +36,19 @@ def contiguity(passes: DataFrame, partition: str, version: str = "pass") -> Data
 
 
 def order_breaks(events: DataFrame, partition: str, order: str, version: str) -> DataFrame:
-    """(partition, breaks): events that stand behind a later pass in append order."""
-    w = Window.partitionBy(partition).orderBy(order)
-    return events.select(partition, (F.lag(version).over(w) > F.col(version)).alias("_b")).groupBy(partition).agg(F.count_if("_b").alias("breaks"))
+    """(partition, breaks): events that stand behind a later pass in append order.
+
+    The ledger is cut into ranges of its order; each range is looked through on its own, and only the first and last event of each
+    range are held against each other, so no partition, however large, is sorted in one task.
+    """
+    cut = events.select(partition, order, version).repartitionByRange(partition, order).withColumn("_range", F.spark_partition_id())
+    cut = materialize(cut, "ledger-ranges")
+    inside = Window.partitionBy("_range", partition).orderBy(order)
+    within = cut.select(partition, (F.lag(version).over(inside) > F.col(version)).alias("_b"))
+    ends = cut.groupBy("_range", partition).agg(F.min_by(version, order).alias("_first"), F.max_by(version, order).alias("_last"), F.min(order).alias("_from"))
+    beside = Window.partitionBy(partition).orderBy("_from")
+    between = ends.select(partition, (F.lag("_last").over(beside) > F.col("_first")).alias("_b"))
+    return within.unionByName(between).groupBy(partition).agg(F.count_if("_b").alias("breaks"))
 
 
 def drift(observed: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:

@@ -84,10 +84,10 @@ def open_failures(spark: SparkSession, d: str) -> DataFrame:
     return state.open_failures(failures(spark, d)).select("failure_id", "phase", "document_id", "partition_id")
 
 
-@query(f"SELECT phase, document_id, string_agg(failure_id, ',' ORDER BY failure_id) AS ids FROM {_OPEN} WHERE document_id IS NOT NULL GROUP BY ALL")
+@query(f"SELECT DISTINCT phase, document_id, failure_id FROM {_OPEN} WHERE document_id IS NOT NULL")
 def open_by_document(spark: SparkSession, d: str) -> DataFrame:
-    opened = state.open_failures(failures(spark, d)).filter("document_id is not null")
-    return opened.groupBy("phase", "document_id").agg(F.array_join(F.array_sort(F.collect_set("failure_id")), ",").alias("ids"))
+    """The open failures of each phase and document, one row each."""
+    return state.open_failures(failures(spark, d)).filter("document_id is not null").select("phase", "document_id", "failure_id").distinct()
 
 
 @query(f"SELECT phase, document_id, min(failure_id) AS canonical_id, count(*) AS failures FROM {_OPEN} WHERE document_id IS NOT NULL GROUP BY ALL")

@@ -74,6 +74,22 @@ def release(*frames: DataFrame) -> None:
             df._cotejo_path = None
 
 
+class Scratch:
+    """Tables of one run that can go together once its result is written."""
+
+    def __init__(self) -> None:
+        self.frames: list[DataFrame] = []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        out = materialize(df, label)
+        self.frames.append(out)
+        return out
+
+    def clear(self) -> None:
+        release(*self.frames)
+        self.frames = []
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions: what the cluster's owner sized for its data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
