@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import HOT_SHARE, dashed, lookup, materialize, release, uuid_key
+from ..runtime import HOT_SHARE, Scratch, dashed, lookup, materialize, release, uuid_key
 
 HOT_LEAST = 10_000
 
@@ -94,8 +94,9 @@ def consolidate(sightings: DataFrame, record: list[str], aliases: list[str], key
     keys = F.array_sort(F.array_compact(F.array(*[key_of(c) for c in aliases])))
     keyed = sightings.select(*record, keys.alias("_keys")).filter(F.size("_keys") > 0)
     # one row per record and set of aliases: redelivered and repeated sightings end here, before anything else is shuffled
-    seen = materialize(keyed.select(*record, F.element_at("_keys", 1).alias("low"), F.slice("_keys", 2, len(aliases)).alias("others")).distinct(), "sightings")
-    firsts = materialize(seen.groupBy(*record).agg(F.min("low").alias("first"), F.count(F.lit(1)).alias("n")), "records")
+    scratch = Scratch()
+    seen = scratch.keep(keyed.select(*record, F.element_at("_keys", 1).alias("low"), F.slice("_keys", 2, len(aliases)).alias("others")).distinct(), "sightings")
+    firsts = scratch.keep(seen.groupBy(*record).agg(F.min("low").alias("first"), F.count(F.lit(1)).alias("n")), "records")
     names = [F.coalesce(F.col(c), F.lit("")) for c in record]
     rec = F.xxhash64(*names, F.lit("record"))
     rec2 = F.xxhash64(F.lit("other"), *[F.reverse(c) for c in names])
@@ -103,13 +104,14 @@ def consolidate(sightings: DataFrame, record: list[str], aliases: list[str], key
     inside = seen.filter(F.size("others") > 0).select("low", F.explode("others").alias("key")).select(F.col("low").alias("p"), F.col("key").alias("q"))
     many = firsts.filter("n > 1").select(rec.alias("_r"), rec2.alias("_s"), "first", "n")
     across = lookup(seen.select(rec.alias("_r"), rec2.alias("_s"), "low"), many.select("_r", "_s", "first"), ["_r", "_s"], how="inner", hot=many.filter(F.col("n") > HOT_LEAST).select("_r", "_s")).filter("first <> low").select(F.col("first").alias("p"), F.col("low").alias("q"))
-    pairs = materialize(inside.unionByName(across).filter("p <> q").distinct(), "pairs")
+    pairs = scratch.keep(inside.unionByName(across).filter("p <> q").distinct(), "pairs")
     torn = torn_nodes(pairs.select(F.col("p").alias("key")).unionByName(pairs.select(F.col("q").alias("key"))).distinct())
     if not torn.isEmpty():
         raise RuntimeError("two aliases share a 64-bit node number; group them with another hash")
-    roots = materialize(seed_trees(pairs.select(_node("p").alias("a"), _node("q").alias("b"))), "roots")
+    roots = scratch.keep(seed_trees(pairs.select(_node("p").alias("a"), _node("q").alias("b"))), "roots")
     placed = lookup(firsts.select(*record, "first", _node("first").alias("node")), roots, ["node"]).select(*record, "first", F.coalesce("root", "node").alias("root"))
     placed = materialize(placed, "placed")
+    scratch.clear()
     groups = placed.groupBy("root").agg(F.min("first").alias("group_key"), F.count(F.lit(1)).alias("records"))
     sized = materialize(groups, "groups")
     hot = sized.filter(F.col("records") > HOT_LEAST).join(F.broadcast(sized.agg(F.sum("records").alias("_all"))), F.col("records") > F.col("_all") * F.lit(HOT_SHARE)).select("root")
