@@ -66,7 +66,7 @@ def _points(text: str, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np
     return cps, lead[off - off[0]]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Batches cut where the texts of a column pass ``limit`` bytes, so that the arrays over their characters stay small."""
     for b in batches:
         size = pa.compute.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
