@@ -13,13 +13,56 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.identity import split_known
+
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: Labels of result lists and of detail panels, and the names they get.
 LIST_LABELS = {"Pretensión/Delito": "pretensiones", "Tipo Resolución": "tipoResolucion", "Fecha Resolución": "fechaResolucion", "Sala Suprema": "sala", "Sala": "sala", "Norma de Derecho Interno": "normaDI", "Sumilla": "sumilla", "Palabras Clave": "palabras"}
 DETAIL_LABELS = {
-    "Fecha de la Resolución": "resolutionDate", "Tipo de Resolución": "resolutionType", "Fallo/Sentido de la Resolución": "decision", "Jueces Supremos": "judges", "Jueces": "judges", "Ponente": "reportingJudge",
-    "Sumilla": "summary", "Norma de Derecho Interno": "domesticLaw", "Palabras Clave": "keywords", "Especialidad": "specialty", "Sala": "chamber", "Instancia": "chamber", "Distrito": "district",
-    "Distrito Judicial de Procedencia": "district", "Materia de la Causa": "subjectMatter", "Pretensión/Delito": "claimOrOffense", "Pretención/Delito": "claimOrOffense", "Proceso": "processType", "Tipo de Proceso": "processType",
+    "Fecha de la Resolución": "resolutionDate",
+    "Tipo de Resolución": "resolutionType",
+    "Fallo/Sentido de la Resolución": "decision",
+    "Jueces Supremos": "judges",
+    "Jueces": "judges",
+    "Ponente": "reportingJudge",
+    "Dirimente": "castingJudge",
+    "Discordia": "dissent",
+    "Voto Concordado": "concurringVote",
+    "Fundamentos Adicionales": "additionalGrounds",
+    "Sumilla": "summary",
+    "Norma de Derecho Interno": "domesticLaw",
+    "Jurisprudencia Nacional/Acuerdo Plenario": "nationalPrecedent",
+    "Norma de Derecho Internacional": "internationalLaw",
+    "Organismo Emisor de Jursiprudencia Internacional": "internationalIssuer",
+    "Palabras Clave": "keywords",
+    "Relevante": "relevant",
+    "Vinculante": "binding",
+    "Fecha de Publicación en El Peruano": "officialPublicationDate",
+    "Especialidad": "specialty",
+    "Sala": "chamber",
+    "Instancia": "chamber",
+    "Distrito Judicial de Procedencia": "district",
+    "Distrito": "district",
+    "Materia de la Causa": "subjectMatter",
+    "Pretensión/Delito": "claimOrOffense",
+    "Pretención/Delito": "claimOrOffense",
+    "Régimen Procesal": "proceduralRegime",
+    "Tipo de Proceso": "processType",
+    "Proceso": "processType",
+    "N° de Expediente de la Sala Superior": "superiorCaseNumber",
+    "Archivo de la Resolución": "resolutionFile",
+    "Fecha de Demanda": "filingDate",
+    "Fecha de Calificación": "admissionDate",
+    "Organo Jurisdiccional de procedencia": "originatingCourt",
+    "Fallo": "lowerDecision",
+    "Expediente de Procedencia": "lowerCaseNumber",
+    "Fecha de Resolución de Procedencia": "lowerResolutionDate",
+    "Organo Jurisdiccional de Origen": "originalCourt",
+    "Fallo de Origen": "originalDecision",
+    "Tipo de Resolución de Origen": "originalResolutionType",
+    "Expediente de Origen": "originalCaseNumber",
+    "Fecha de Resolución de Origen": "originalResolutionDate",
+    "Fecha de Denuncia de Origen": "originalComplaintDate",
 }
 VIEW_STATE = "javax.faces.ViewState"
 
@@ -347,6 +390,12 @@ def page_details(pages: DataFrame, key: str, html: str, base_url: str, panel: st
     return _over(pages, key, html, DETAILS, one, strict)
 
 
+def detail_names(details: DataFrame) -> DataFrame:
+    """(page_key, known, unknown): the fields of details by their semantic names, and labels without one, which are never lost."""
+    split = split_known("fields", DETAIL_LABELS).alias("_s")
+    return details.filter("error is null").select("page_key", split).select("page_key", "_s.known", "_s.unknown")
+
+
 def page_controls(pages: DataFrame, key: str, html: str, form_id: str | None = None, strict: bool = False) -> DataFrame:
     """One row per successful control of a page's form, in document order."""
 

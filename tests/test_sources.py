@@ -107,6 +107,12 @@ def test_historical_and_detail(spark):
     assert rows["c"]["fields"] == {"Sala": ["Segunda"]} and rows["d"]["error"]
 
 
+def test_detail_names(spark):
+    page = "<dl><dt>Sala:</dt><dd>Primera</dd><dt>Instancia</dt><dd>Segunda</dd><dt>Nueva</dt><dd>x</dd></dl>"
+    got = markup.detail_names(markup.page_details(spark.createDataFrame([("a", page)], "k string, html string"), "k", "html", "https://h.pe")).first()
+    assert got["known"] == {"chamber": ["Primera", "Segunda"]} and got["unknown"] == {"Nueva": ["x"]}
+
+
 def test_forms_and_updates(spark):
     form = """<form id="f" action="/go" method="post"><input name="a" value="1"><input name="a" value="2"><input type="checkbox" name="c"><input type="checkbox" name="d" checked>
     <select name="s"><option value="x">X</option><option selected>Y</option></select><textarea name="t">z</textarea><input type="submit" name="b"><input name="off" disabled><fieldset disabled><input name="in"></fieldset></form>"""
