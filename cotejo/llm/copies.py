@@ -7,7 +7,8 @@ such hashes are regrouped by the full canonical text.
 
 Defined results: null, empty and punctuation-only values are the same (no letters or digits); a payload that cannot be read, and
 a record without any field, counts as a record of four empty fields; columns of the layout win over the payload where both are
-filled; labels and keys may have any case and outer blanks; repeated rows are copies; other columns do not matter.
+filled; labels and keys may have any case and outer blanks; repeated rows are copies; rows without an id are counted and not
+listed; other columns do not matter.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ No neighbourhood is ever collected: every step is an aggregation with map-side c
 hub may touch a third of all edges) are kept out of the shuffle. Each round is written to the shared folder.
 
 Defined results: null ends and self-loops link nothing; repeated edges count once; an empty edge table gives an empty forest;
-vertices without edges are not listed (they are their own group).
+vertices without edges are not listed (they are their own group). Of the membership ledger, records without any alias are left out;
+null partitions and tokens are values like others.
 """
 
 from __future__ import annotations

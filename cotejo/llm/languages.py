@@ -9,7 +9,7 @@ The filters are built on a bounded sample of labelled rows (``SAMPLE_ROWS`` rows
 those with the smallest hash of their id), cleaned of wrong labels by judging the sample with its own first filters. Everything
 else covers all rows and whole texts.
 
-Defined results: null, empty and letterless texts have no language and give no row; segments too short to be a sentence or too
+Defined results: rows without an id, and null, empty and letterless texts, have no language and give no row; segments too short to be a sentence or too
 unlike any language have none; a label may be a code of two or three letters with or without region, or a name; ties go to the
 language that comes first in ``LANGUAGES``.
 """
@@ -44,6 +44,8 @@ SAMPLE_ROWS = 400
 SAMPLE_CHARS = 6000
 #: A sentence has at least so many n-grams and words; its language explains this share of them, and this much more than the next.
 LEAST_GRAMS, LEAST_WORDS, SHARE, MARGIN = 30, 6, 0.45, 0.15
+#: Text without any sentence end is judged in parts of so many characters.
+MOST_CHARS = 1 << 20
 
 
 def label_language(label: Column) -> Column:
@@ -87,7 +89,8 @@ class Grams:
         ends[1:] = stop[:-1] & space[1:]
         newline = cps == 10
         ends[1:] |= newline[:-1] & newline[1:]
-        begins = ends | starts
+        # no segment is longer than its counters can count
+        begins = ends | starts | ((np.arange(n) - np.repeat(off[:-1], np.diff(off))) % MOST_CHARS == 0)
         self.seg_start = np.flatnonzero(begins)
         self.seg_end = np.append(self.seg_start[1:], n)
         self.seg_doc = np.searchsorted(off, self.seg_start, "right") - 1
@@ -262,7 +265,7 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text", label:
     named is the language of the label. One pass over the texts, no shuffle.
     """
     filters = filters or build_filters(*sample_labelled(docs, id_col, text, label))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), label_language(F.col(label)).alias("named"), F.col(text).cast("string").alias("text")).filter("text is not null")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), label_language(F.col(label)).alias("named"), F.col(text).cast("string").alias("text")).filter("text is not null and doc_id is not null")
     return rows.mapInArrow(_passages(filters), "doc_id long, named string, passage int, begin_at long, end_at long, chars long, lang string, confidence double")
 
 

@@ -202,6 +202,12 @@ def test_languages(spark, rows):
     assert languages.passages(df.filter("doc_id > 999")).count() == 0
 
 
+def test_endless_sentence():
+    filters = languages.build_filters([TALK[x] + "." for x in TALK for _ in range(4)], [languages.LANGUAGES.index(x) for x in TALK for _ in range(4)])
+    found, _ = filters.judge(languages.Grams(pa.array([(TALK["fr"] + " ") * 25_000, TALK["es"] + "."])))
+    assert [languages.LANGUAGES[x] for x in found] == ["fr"] * 3 + ["es"]
+
+
 @pytest.mark.skipif(not __import__("os").path.isdir("/root/testdata/sf0.01"), reason="no test tables")
 def test_held_out_accuracy(spark):
     """Documents whose label is a plain code, none of them in the sample: at least 95 in 100 labels are those of the opening (some labels are wrong)."""
