@@ -6,7 +6,7 @@ snapshot. Full values are fetched only for the keys that differ, by row id.
 
 Defined results: keys are compared in capitals without outer white space; a row without a key is no record, though its snapshot
 counts as delivered; of rows with the same key in a snapshot the one with the highest row id counts; empty and blank values equal
-null; a snapshot that was not delivered is skipped; the first snapshot gives no change.
+null; a snapshot that was not delivered is skipped; the first snapshot gives no change; rows without a group, snapshot or row id are left out.
 """
 
 from __future__ import annotations
