@@ -40,7 +40,8 @@ def discover(spark: SparkSession, pages: DataFrame, folder: str, base_url: str,
 
 
 def discovery_summary(pages: DataFrame, base_url: str, page_size: int = 10, historical: bool = False) -> DataFrame:
-    """(partition_id, pages, raw, unique_rows, duplicates, initial_total, final_total, drifted, repeated_pages, natural_end, errors)."""
+    """(partition_id, pages, raw, unique_rows, duplicates, initial_total, final_total, drifted, counts_hold,
+    repeated_pages, natural_end, errors). counts_hold: without drift the rows seen are the announced total; null where none was announced."""
     keyed = pages.select(F.concat_ws("/", "partition_id", F.col("page").cast("string")).alias("page_key"), "partition_id", "page", "body")
     states = page_states(keyed, "page_key", "body", base_url, page_size, historical).join(keyed.select("page_key", "partition_id", "page"), "page_key")
     ids = states.select("partition_id", "page", F.explode_outer("ids").alias("id"))
@@ -50,7 +51,7 @@ def discovery_summary(pages: DataFrame, base_url: str, page_size: int = 10, hist
         (F.count("ids") - F.countDistinct(F.to_json("ids"))).alias("repeated_pages"),
     )
     unique = ids.groupBy("partition_id").agg(F.countDistinct("id").alias("unique_rows"))
-    return per.join(unique, "partition_id").select("partition_id", "pages", "raw", "unique_rows", (F.col("raw") - F.col("unique_rows")).alias("duplicates"), "initial_total", "final_total", (~F.col("initial_total").eqNullSafe(F.col("final_total"))).alias("drifted"), "repeated_pages", "natural_end", "errors")
+    return per.join(unique, "partition_id").select("partition_id", "pages", "raw", "unique_rows", (F.col("raw") - F.col("unique_rows")).alias("duplicates"), "initial_total", "final_total", (~F.col("initial_total").eqNullSafe(F.col("final_total"))).alias("drifted"), (~F.col("initial_total").eqNullSafe(F.col("final_total")) | (F.col("raw") == F.col("final_total"))).alias("counts_hold"), "repeated_pages", "natural_end", "errors")
 
 
 def file_name(document_id: str, date: str, human: tuple[str, ...]) -> Any:

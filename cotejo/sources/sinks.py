@@ -63,6 +63,15 @@ def replace_file(path: str, text: str, mode: int = 0o600) -> None:
         os.close(at)
 
 
+def contained(folder: str, name: str) -> str:
+    """The path of a file directly in a folder; a name that leads anywhere else is an error."""
+    home = os.path.realpath(folder)
+    path = os.path.realpath(os.path.join(home, name))
+    if os.path.dirname(path) != home:
+        raise ValueError("the name leads out of the folder")
+    return path
+
+
 def write_receipt(path: str, receipt: dict[str, Any]) -> None:
     replace_file(path, json.dumps(receipt, indent=2, ensure_ascii=False) + "\n")
 

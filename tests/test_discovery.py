@@ -22,7 +22,7 @@ def test_two_passes(spark, tmp_path):
     got = {r["partition_id"]: r for r in discovery_summary(pages, "https://h.pe").collect()}
     a = got["A"]
     assert (a["pages"], a["raw"], a["unique_rows"], a["duplicates"], a["drifted"], a["natural_end"], a["repeated_pages"]) == (2, 4, 3, 1, True, True, 0)
-    assert (got["B"]["drifted"], got["B"]["natural_end"]) == (False, True)
+    assert (got["B"]["drifted"], got["B"]["natural_end"], got["B"]["counts_hold"], a["counts_hold"]) == (False, True, True, True)
 
 
 def test_file_name(spark):

@@ -69,6 +69,10 @@ def test_sinks(spark, tmp_path):
     (tmp_path / ".r.json.old.tmp").write_text("")
     with pytest.raises(FileExistsError):
         sinks.replace_file(str(f), "x")
+    assert sinks.contained(str(tmp_path), "a.pdf").endswith("/a.pdf")
+    for bad in ("../a.pdf", "x/a.pdf", "/etc/passwd", ""):
+        with pytest.raises(ValueError, match="out of"):
+            sinks.contained(str(tmp_path), bad)
     plan = str(tmp_path / "new" / "plan.json")
     assert sinks.keep_plan(plan, {"p": 1}) == sinks.keep_plan(plan, {"p": 1})
     with pytest.raises(ValueError, match="another plan"):
