@@ -127,18 +127,14 @@ def test_history_pairs(spark):
 
 
 def test_texts_of_common_passages_are_still_paired(spark):
-    """Every text holds the same long passages, so that no short match is selective; only greater depth tells them apart."""
+    """Many slightly different copies of one text: every range is wide, and only the second matching finds the pairs."""
     rng = random.Random(2)
-    common = [words(rng, 150) for _ in range(3)]
-    docs = []
-    for k in range(170):
-        order = [common[x] for x in rng.sample(range(3), 3)]
-        docs.append((k, 1, " ".join(sum(order, []) + words(rng, 2)), None))
-    for k in range(5):
-        docs.append((1000 + k, 2, docs[k][2] + " " + rng.choice(VOCAB), None))
-    got = {tuple(r) for r in history.history_pairs(spark.createDataFrame(docs, "doc_id long, pass int, text string, document_id string")).collect()}
-    assert {(k, 1000 + k) for k in range(5)} <= got
-    assert got == brute([d for d in docs])
+    base = words(rng, 90)
+    docs = [(k, 1 if k < 40 else 2, " ".join(edited(rng, base, 0.03)), None) for k in range(60)]
+    docs += [(100 + k, 1 + k % 2, " ".join(words(rng, 50)), None) for k in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, pass int, text string, document_id string")
+    got = {tuple(r) for r in history.history_pairs(df, limits=(1, 1, 1, 1)).collect()}
+    assert got == brute(docs) and len(got) > 700
 
 
 def test_segments_find_every_range():
@@ -154,7 +150,7 @@ def test_segments_find_every_range():
     assert len(seg.parts) < 6
     everything = np.concatenate(kept)
     q = everything[:50]
-    at, fp, wide, _ = seg.search(q, (4, 8, 10_000, 10_000))
+    at, fp, _ = seg.search(q, (4, 8, 10_000, 10_000))
     for k in range(50):
         for depth, limit in ((1, 4), (2, 8), (3, 10_000)):
             same = np.ones(len(everything), bool)
@@ -163,7 +159,12 @@ def test_segments_find_every_range():
             if 0 < same.sum() <= limit:
                 assert sorted(fp[at == k].tolist()) == sorted(everything["fp"][same].tolist())
                 break
-    assert len(wide) == 0
+    texts, n, _ = seg.wide_texts(3)
+    groups = {}
+    for r in everything:
+        groups.setdefault((r["key"], r["e1"], r["e2"]), []).append(int(r["fp"]))
+    want = [x for g in groups.values() if len(g) > 3 for x in g]
+    assert sorted(np.repeat(texts, n).tolist()) == sorted(want)
 
 
 def test_stored_segments_serve_a_new_batch(spark, tmp_path):
