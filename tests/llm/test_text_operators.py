@@ -172,10 +172,11 @@ def test_stored_segments_serve_a_new_batch(spark, tmp_path):
     base = [" ".join(words(rng, 80)) for _ in range(6)]
     old = spark.createDataFrame([(k, 1, t) for k, t in enumerate(base)], "id long, batch int, text string")
     new = spark.createDataFrame([(10 + k, 2, " ".join(edited(rng, t.split(), 0.05))) for k, t in enumerate(base[:3])], "id long, batch int, text string")
-    history.suffix_blobs(old, 4).write.parquet(str(tmp_path / "segment"))
-    stored = spark.read.parquet(str(tmp_path / "segment"))
-    got = history.match_batches(stored.unionByName(history.suffix_blobs(new, 4)), 4)
-    assert got.filter("kind = 1").select("x", "y").distinct().count() == 3
+    for p in (0, 1):
+        history.write_segment(old.filter(f"id % 2 = {p}"), str(tmp_path), f"segment-{p}", 4)
+    got = history.match_stored(new, str(tmp_path), 4).filter("kind = 1").groupBy("x", "y").sum("hits")
+    want = history.match_batches(history.suffix_blobs(old.unionByName(new), 4), 4).filter("kind = 1").groupBy("x", "y").sum("hits")
+    assert got.count() == 3 and got.exceptAll(want).isEmpty()
 
 
 # --- languages --------------------------------------------------------------------------------------------------------------
