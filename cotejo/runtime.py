@@ -98,11 +98,10 @@ def shuffle_width(spark: SparkSession) -> int:
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, least: int = 10_000) -> DataFrame:
     """Keys holding more than ``share`` of the rows (and at least ``least`` rows): at most 1/share rows, so safe to broadcast.
 
-    The count is map-side combined; only one row per key and task is shuffled.
+    The count is map-side combined; only one row per key and task is shuffled. The number of rows is taken at once.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_all"))
-    return counts.filter(F.col("_n") >= least).join(F.broadcast(total), F.col("_n") > F.col("_all") * F.lit(share)).select(*keys)
+    most = max(least, int(df.count() * share))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select(*keys)
 
 
 def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None) -> DataFrame:
