@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import lookup, materialize
+from ..runtime import HOT_SHARE, lookup, materialize
 
 IDENTITY = ("expediente", "sala", "tipo", "fecha")
 
@@ -80,7 +80,7 @@ def collisions(hashes: DataFrame) -> DataFrame:
 def copy_members(hashes: DataFrame, groups: DataFrame) -> DataFrame:
     """(keep_id, dup_id) of every record that is not the first of its set. Hot sets meet their row by a bounded broadcast."""
     several = groups.filter("copies > 1").select("h128", "check", "keep_id", "copies")
-    hot = several.filter(F.col("copies") >= 10_000).join(F.broadcast(groups.agg(F.sum("copies").alias("_all"))), F.col("copies") > F.col("_all") / 500).select("h128", "check")
+    hot = several.filter(F.col("copies") > max(10_000, int(hashes.count() * HOT_SHARE))).select("h128", "check")
     return lookup(hashes.select("id", "h128", "check"), several, ["h128", "check"], how="inner", hot=hot).filter("id <> keep_id").select("keep_id", F.col("id").alias("dup_id"))
 
 

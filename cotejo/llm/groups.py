@@ -115,7 +115,7 @@ def consolidate(sightings: DataFrame, record: list[str], aliases: list[str], key
     scratch.clear()
     groups = placed.groupBy("root").agg(F.min("first").alias("group_key"), F.count(F.lit(1)).alias("records"))
     sized = materialize(groups, "groups")
-    hot = sized.filter(F.col("records") > HOT_LEAST).join(F.broadcast(sized.agg(F.sum("records").alias("_all"))), F.col("records") > F.col("_all") * F.lit(HOT_SHARE)).select("root")
+    hot = sized.filter(F.col("records") > max(HOT_LEAST, int(placed.count() * HOT_SHARE))).select("root")
     return lookup(placed, sized, ["root"], how="inner", hot=hot).select(*record, "group_key", "records")
 
 

@@ -24,14 +24,13 @@ def repetition_rates(sizes: DataFrame, targets: DataFrame, total: float | None =
     want = targets.filter("source is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max(F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(1))).alias("max_repeats"))
     known = want.join(per, "source", "left").select("source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), "max_repeats", F.coalesce("available", F.lit(0)).alias("available"))
     usable = (F.col("available") > 0) & (F.col("target_share") > 0)
-    reach = known.agg(
-        F.sum(F.when(usable, F.col("target_share"))).alias("_weight"),
-        F.min(F.when(usable, F.col("max_repeats") * F.col("available") / F.col("target_share"))).alias("_most"),
-    )
-    wanted = F.lit(total) if total is not None else F.col("_most") * F.col("_weight")
+    weight, most = known.agg(F.sum(F.when(usable, F.col("target_share"))), F.min(F.when(usable, F.col("max_repeats") * F.col("available") / F.col("target_share")))).first()
+    if weight is None:
+        return known.withColumn("rate", F.lit(0.0))
+    wanted = F.lit(float(total if total is not None else most * weight))
     # with a total beyond reach, each source gives what its cap allows
-    rate = F.when(usable, F.least(F.col("max_repeats").cast("double"), wanted * F.col("target_share") / F.col("_weight") / F.col("available"))).otherwise(F.lit(0.0))
-    return known.join(F.broadcast(reach), F.lit(True), "left").select("source", "target_share", "max_repeats", "available", rate.alias("rate"))
+    rate = F.when(usable, F.least(F.col("max_repeats").cast("double"), wanted * F.col("target_share") / F.lit(weight) / F.col("available"))).otherwise(F.lit(0.0))
+    return known.withColumn("rate", rate)
 
 
 def mix(sizes: DataFrame, targets: DataFrame, seed: int = 42, total: float | None = None) -> DataFrame:
@@ -50,13 +49,12 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 42, total: float | Non
 def share_report(selection: DataFrame, sizes: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
     """Per target: the share wanted, the rate used, and the share of tokens reached."""
     got = selection.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.countDistinct("doc_id").alias("documents"), F.max("copy").alias("most_copies"))
-    all_tokens = got.agg(F.sum("tokens").alias("_all"))
+    everything = got.agg(F.sum("tokens")).first()[0] or 1
     rates = repetition_rates(sizes, targets, total)
     return (
         rates.join(got, "source", "left")
-        .join(F.broadcast(all_tokens), F.lit(True), "left")
         .select(
             "source", "target_share", "max_repeats", "available", F.round("rate", 6).alias("rate"), F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
-            F.coalesce("most_copies", F.lit(0)).alias("most_copies"), F.round(F.coalesce(F.col("tokens") / F.col("_all"), F.lit(0.0)), 6).alias("actual_share"),
+            F.coalesce("most_copies", F.lit(0)).alias("most_copies"), F.round(F.coalesce(F.col("tokens") / F.lit(everything), F.lit(0.0)), 6).alias("actual_share"),
         )
     )
