@@ -137,6 +137,32 @@ def test_texts_of_common_passages_are_still_paired(spark):
     assert got == brute(docs) and len(got) > 700
 
 
+def family(seed, size, length, rate):
+    """(id, batch, text) of edited copies of one text, and the pairs of prints of different batches that are near by brute force."""
+    rng = random.Random(seed)
+    base = words(rng, length)
+    texts = [edited(rng, base, rate) for _ in range(size)]
+    docs = [(k, 1 + k % 2, " ".join(t)) for k, t in enumerate(texts)]
+    ids = {w: np.uint64(k) for k, w in enumerate({w for t in texts for w in t})}
+    coded = [np.array([ids[w] for w in t], np.uint64) for t in texts]
+    least = int(np.ceil(0.8 * length - 1e-9))
+    near = {(i, j) for i in range(0, size, 2) for j in range(1, size, 2) if texts[i] != texts[j] and history.common_words(coded[i], coded[j], least) >= least}
+    return docs, near
+
+
+def linked_ids(docs, spark):
+    members, links = history.near_texts(spark.createDataFrame(docs, "id long, batch int, text string"))
+    fp = {r["fp"]: r["id"] for r in members.select("id", "fp").collect()}
+    pairs = (sorted((fp[r["x"]], fp[r["y"]]), key=lambda k: k % 2) for r in links.collect())
+    return {tuple(p) for p in pairs}
+
+
+@pytest.mark.parametrize("size, length, rate", [(30, 160, 0.1), (300, 300, 0.08)])
+def test_families_with_scattered_edits(spark, size, length, rate):
+    docs, near = family(size, size, length, rate)
+    assert linked_ids(docs, spark) == near and len(near) > 0.2 * size
+
+
 def test_segments_find_every_range():
     rng = np.random.default_rng(1)
     seg = history.Segments()
