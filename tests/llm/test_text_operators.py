@@ -163,6 +163,18 @@ def test_families_with_scattered_edits(spark, size, length, rate):
     assert linked_ids(docs, spark) == near and len(near) > 0.2 * size
 
 
+def test_width_of_ranges_changes_no_pair(spark):
+    """Texts with few and with many places in wide ranges, in one family: what is found depends on no limit."""
+    rng = random.Random(21)
+    base = words(rng, 120)
+    docs = [(k, 1 + k % 2, " ".join(edited(rng, base, 0.02 if k % 3 else 0.14)), None) for k in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, pass int, text string, document_id string")
+    want = brute(docs)
+    for limits in ((1, 1, 1, 1), history.SELECTIVE, (1 << 30, 0, 0, 0)):
+        assert {tuple(r) for r in history.history_pairs(df, limits=limits).collect()} == want
+    assert len(want) > 200
+
+
 def test_segments_find_every_range():
     rng = np.random.default_rng(1)
     seg = history.Segments()
