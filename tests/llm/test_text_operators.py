@@ -157,12 +157,36 @@ def linked_ids(docs, spark):
     return {tuple(p) for p in pairs}
 
 
-@pytest.mark.parametrize("size, length, rate", [(30, 160, 0.1), (300, 300, 0.08)])
+@pytest.mark.parametrize("size, length, rate", [(30, 160, 0.1), (300, 160, 0.08), (300, 300, 0.08)])
 def test_families_with_scattered_edits(spark, size, length, rate):
     docs, near = family(size, size, length, rate)
     assert linked_ids(docs, spark) == near and len(near) > 0.2 * size
 
 
+def test_every_text_has_places():
+    rng = random.Random(31)
+    ids = {w: np.uint64(k) for k, w in enumerate(VOCAB)}
+    texts = [words(rng, 100) * 50, words(rng, 2000) * 3, words(rng, 20), words(rng, 60), words(rng, 3000)]
+    hashes = textscan.mix(np.array([ids[w] for t in texts for w in t], np.uint64) + np.uint64(1))
+    for seed in range(40):
+        own, key, *_ = history._anchors(hashes ^ textscan.mix(np.array([seed], np.uint64)), np.append(0, np.cumsum([len(t) for t in texts])), history.ANCHORS)
+        # 48 of 5000 places of about 100 kinds are at least 25 kinds
+        assert (np.bincount(own) >= [25, 40, 13, 48, 48]).all()
+        assert len(set(zip(own.tolist(), key.tolist(), strict=True))) == len(own)
+
+
+def test_long_repetitive_texts(spark):
+    rng = random.Random(32)
+    docs, near, fp = [], set(), {}
+    for k in range(24):
+        base = words(rng, 100) * 50
+        pair = [base + words(rng, 3), edited(rng, base, 0.1)]
+        for j, t in enumerate(pair):
+            docs.append((2 * k + j, 1 + j, " ".join(t)))
+        near.add((2 * k, 2 * k + 1))
+    assert linked_ids(docs, spark) == near
+
+
 def test_width_of_ranges_changes_no_pair(spark):
     """Texts with few and with many places in wide ranges, in one family: what is found depends on no limit."""
     rng = random.Random(21)
