@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from cotejo.operators.orphans import Ref, Source, direct_orphans, orphan_cascade, orphan_report
 from cotejo.operators.snapshots import snapshot_audit, snapshot_changes
 
@@ -96,3 +97,11 @@ def test_audit(spark):
     assert (got[1]["final_total_fits"], got[1]["declared_not_seen"], got[1]["seen_not_declared"]) == (True, 0, 0)
     assert (got[2]["final_total_fits"], got[2]["declared_not_seen"], got[2]["seen_not_declared"], got[2]["added"]) == (False, 1, 1, 1)
     assert (got[3]["final_total_fits"], got[3]["declared_not_seen"], got[3]["rows_seen"]) == (None, None, 0)
+
+
+def test_chain_deeper_than_the_rounds_raises(spark):
+    t = spark.createDataFrame([(k, f"K{k}", f"K{k - 1}", T(1)) for k in range(1, 7)], "n long, k string, up string, at timestamp")
+    src = {"t": Source(t, "n", "at", key="k", refs=(Ref("up", "t"),))}
+    assert orphan_cascade(src, max_rounds=6).count() == 6
+    with pytest.raises(RuntimeError):
+        orphan_cascade(src, max_rounds=3)
