@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from ..runtime import materialize, shuffle_width
 
 MAX_LENGTHS = 2_000_000
+#: Capacities planned in one run.
+MAX_CAPACITIES = 1000
 
 
 @dataclass
@@ -180,7 +182,9 @@ def pack(sizes: DataFrame, capacities: DataFrame, buckets: int | None = None) ->
     lengths = sizes.filter("tokens > 0").groupBy("tokens").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LENGTHS + 1).toPandas().sort_values("tokens")
     if len(lengths) > MAX_LENGTHS:
         raise ValueError("more distinct lengths than a driver should hold; cut the longest texts first")
-    wanted = [(int(r[0]), int(r[1])) for r in capacities.filter("capacity_tokens >= 1").select("capacity_id", "capacity_tokens").orderBy("capacity_id").limit(1000).collect()]
+    wanted = [(int(r[0]), int(r[1])) for r in capacities.filter("capacity_tokens >= 1").select("capacity_id", "capacity_tokens").orderBy("capacity_id").limit(MAX_CAPACITIES + 1).collect()]
+    if len(wanted) > MAX_CAPACITIES:
+        raise ValueError(f"more than {MAX_CAPACITIES} capacities")
     v, n = lengths["tokens"].to_numpy(np.int64), lengths["n"].to_numpy(np.int64)
     layouts = [layout(c, cap, v, n) for c, cap in wanted]
     buckets = buckets or 4 * shuffle_width(spark)
@@ -190,6 +194,6 @@ def pack(sizes: DataFrame, capacities: DataFrame, buckets: int | None = None) ->
 def fill_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     """Containers, tokens and the share of space used per capacity, with the least number of containers any packing needs."""
     held = packed.groupBy("capacity_id").agg(F.countDistinct("container").alias("containers"), F.sum("tokens").alias("tokens"), F.countDistinct("doc_id").alias("documents"), F.count(F.lit(1)).alias("items"))
-    return held.join(F.broadcast(capacities.select("capacity_id", "capacity_tokens").limit(1000)), "capacity_id").select(
+    return held.join(F.broadcast(capacities.select("capacity_id", "capacity_tokens")), "capacity_id").select(
         "capacity_id", "capacity_tokens", "documents", "items", "tokens", "containers", F.ceil(F.col("tokens") / F.col("capacity_tokens")).alias("least_containers"), F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 4).alias("fill")
     )

@@ -334,6 +334,15 @@ def test_pack(spark):
     assert packing.pack(df.filter("doc_id > 999"), caps).count() == 0
 
 
+def test_too_many_capacities_are_refused(spark):
+    sizes = spark.createDataFrame([(1, 5)], "doc_id long, tokens long")
+    caps = spark.range(1, 1002).selectExpr("cast(id as int) capacity_id", "10 capacity_tokens")
+    with pytest.raises(ValueError):
+        packing.pack(sizes, caps)
+    packed = packing.pack(sizes, caps.filter("capacity_id <= 1000"), buckets=1)
+    assert packed.count() == 1000 and packing.fill_report(packed, caps).count() == 1000
+
+
 def test_ranks_of_a_common_length(spark):
     df = spark.range(30_000).selectExpr("id doc_id", "if(id % 3 = 0, 7L, id % 100) tokens")
     got = packing.ranked(df, 16)
