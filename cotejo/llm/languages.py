@@ -5,8 +5,8 @@ bytes gives every language that knows it. Per segment the set bits are counted b
 false positives, and the language that explains clearly the most n-grams wins; its share of the n-grams is the confidence.
 Segments are sentences; adjacent sentences of one language make a passage.
 
-The filters are built on a bounded sample of labelled rows (``SAMPLE_ROWS`` rows a language of at most ``SAMPLE_CHARS`` characters,
-those with the smallest hash of their id), cleaned of wrong labels by judging the sample with its own first filters. Everything
+The filters are built on a bounded sample of labelled rows (``SAMPLE_ROWS`` rows a language of at most ``SAMPLE_CHARS`` characters, longer texts cut
+to that where there are too few; those with the smallest hash of their id), cleaned of wrong labels by judging the sample with its own first filters. Everything
 else covers all rows and whole texts.
 
 Defined results: rows without an id, and null, empty and letterless texts, have no language and give no row; segments too short to be a sentence or too
@@ -209,21 +209,25 @@ def build_filters(texts: Sequence[str], labels: Sequence[int], rounds: int = 2)
 
 
 def sample_labelled(docs: DataFrame, id_col: str, text: str, label: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[list[str], list[int]]:
-    """At most ``rows`` texts a language, those whose id hashes lowest. Counted first, so that only about as many as needed are sorted."""
-    named = docs.select(F.xxhash64(id_col).alias("_h"), F.col(text).alias("_t"), label_language(F.col(label)).alias("_l")).filter(F.col("_l").isin(*LANGUAGES) & (F.length("_t") <= chars) & (F.length("_t") > 0))
-    counts = {r[0]: r[1] for r in named.groupBy("_l").count().collect()}
+    """At most ``rows`` texts a language, those whose id hashes lowest; where a language has fewer texts of at most ``chars`` characters,
+    the openings of longer ones make up the rest. Counted first, so that only about as many as needed are sorted."""
+    named = docs.select(F.xxhash64(id_col).alias("_h"), F.substring(text, 1, chars).alias("_t"), (F.length(text) > chars).alias("_long"), label_language(F.col(label)).alias("_l")).filter(F.col("_l").isin(*LANGUAGES) & (F.length("_t") > 0))
+    counts = {(r[0], r[1]): r[2] for r in named.groupBy("_l", "_long").count().collect()}
     out_t: list[str] = []
     out_l: list[int] = []
     for k, lang in enumerate(LANGUAGES):
-        n = counts.get(lang, 0)
-        if not n:
-            continue
-        part = named.filter(F.col("_l") == lang)
-        if n > 3 * rows:
-            part = part.filter(F.col("_h") < int(-(2**63) + 2**64 * (3 * rows / n)))
-        for r in part.orderBy("_h").limit(rows).select("_t").collect():
-            out_t.append(r[0])
-            out_l.append(k)
+        left = rows
+        for long in (False, True):
+            n = counts.get((lang, long), 0)
+            if not n or left <= 0:
+                continue
+            part = named.filter((F.col("_l") == lang) & (F.col("_long") == long))
+            if n > 3 * rows:
+                part = part.filter(F.col("_h") < int(-(2**63) + 2**64 * (3 * rows / n)))
+            for r in part.orderBy("_h").limit(left).select("_t").collect():
+                out_t.append(r[0])
+                out_l.append(k)
+            left -= min(n, left)
     return out_t, out_l
 
 

@@ -266,6 +266,13 @@ def test_languages(spark, rows):
     assert languages.passages(df.filter("doc_id > 999")).count() == 0
 
 
+def test_a_language_of_long_texts_only_is_sampled(spark):
+    docs = [(k, TALK["es"] + ".", "es") for k in range(5)] + [(10 + k, (TALK["fr"] + ". ") * 100, "fr") for k in range(5)]
+    texts, langs = languages.sample_labelled(spark.createDataFrame(docs, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    fr = languages.LANGUAGES.index("fr")
+    assert langs.count(fr) == 5 and all(len(t) == languages.SAMPLE_CHARS for t, x in zip(texts, langs, strict=True) if x == fr)
+
+
 def test_endless_sentence():
     filters = languages.build_filters([TALK[x] + "." for x in TALK for _ in range(4)], [languages.LANGUAGES.index(x) for x in TALK for _ in range(4)])
     found, _ = filters.judge(languages.Grams(pa.array([(TALK["fr"] + " ") * 25_000, TALK["es"] + "."])))
