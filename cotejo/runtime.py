@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -40,12 +41,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the session's spark.checkpoint.dir, or a temporary one of our own where it is unset (tests)."""
+    """The folder all executors share: the session's spark.checkpoint.dir, or, in a local session without one, a temporary one of our
+    own. A cluster without the setting is an error: a folder of one machine would lose the rows that others write."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
     own = getattr(spark.sparkContext, "_cotejo_scratch", None)
     if own is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         own = tempfile.mkdtemp(prefix="cotejo-")
         spark.sparkContext._cotejo_scratch = own
         spark.sparkContext.setCheckpointDir(own)
@@ -53,10 +57,50 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/cotejo/{label}-{uuid.uuid4().hex}"
+
+
+def _hadoop(spark: SparkSession, path: str):  # noqa: ANN202
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder; one that is not there is no error."""
+    system, target = _hadoop(spark, path)
+    system.delete(target, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file of the shared folder, null where it is not there."""
+    system, target = _hadoop(spark, path)
+    if not system.exists(target):
+        return None
+    with_stream = system.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(with_stream)).decode("utf-8")
+    finally:
+        with_stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of the shared folder, written beside its place and renamed."""
+    system, target = _hadoop(spark, path)
+    _, beside = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.part")
+    out = system.create(beside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    system.delete(target, False)
+    if not system.rename(beside, target):
+        raise OSError(f"{path} could not be replaced")
+
+
 def materialize(df: DataFrame, label: str = "table", codec: str = "zstd") -> DataFrame:
     """Writes df to the shared folder as Parquet and reads it back: the lineage is cut, and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cotejo/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._cotejo_path = path
@@ -68,9 +112,7 @@ def release(*frames: DataFrame) -> None:
     for df in frames:
         path = getattr(df, "_cotejo_path", None)
         if path:
-            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
+            delete_path(df.sparkSession, path)
             df._cotejo_path = None
 
 
@@ -104,14 +146,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, least
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select(*keys)
 
 
-def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None, least: int = 10_000) -> DataFrame:
     """facts joined with dim (unique on keys), with hot keys of facts kept out of the shuffle.
 
     Rows of a hot key meet their single dim row by a broadcast of at most 1/HOT_SHARE rows; all others are shuffled by key.
     Null keys never match; with ``how='left'`` they stay, with nulls on the right.
     """
     if hot is None:
-        hot = hot_keys(facts, keys)
+        hot = hot_keys(facts, keys, least=least)
     keys = list(keys)
     hot_rows = [r for r in hot.limit(ceil(1 / HOT_SHARE) + 1).collect()]
     if not hot_rows:
@@ -125,6 +167,30 @@ def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "le
     return warm.unionByName(cold)
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], most: int, ways: int = 32, least: int = 100_000) -> DataFrame:
+    """Inner join of two tables that may both repeat keys. Rows of ``left`` with a hot key are spread over ``ways`` tasks, and the rows
+    of ``right`` with such a key, of any number, go to each of them; nothing is broadcast but the hot keys, at most 1/HOT_SHARE.
+
+    most: no key stands in more rows of ``left``; up to ``least`` of them no key is looked for.
+    """
+    keys = list(keys)
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max(least, int(most * HOT_SHARE))).select(*keys)
+    hot_rows = counts.limit(ceil(1 / HOT_SHARE) + 1).collect() if most > least else []
+    if not hot_rows:
+        return left.join(right, keys)
+    small = F.broadcast(left.sparkSession.createDataFrame(hot_rows, left.select(*keys).schema).withColumn("_hot", F.lit(True)))
+    rest = [c for c in left.columns if c not in keys]
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rest), F.lit(ways))).otherwise(F.lit(0)).cast("int")
+    many = left.join(small, keys, "left").withColumn("_salt", salt).drop("_hot")
+    every = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0))))
+    return many.join(right.join(small, keys, "left").withColumn("_salt", every).drop("_hot"), [*keys, "_salt"]).drop("_salt")
+
+
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """A table without rows, made without a job or a Python worker."""
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in (c.split() for c in schema.split(", "))])
+
+
 def uuid_key(col: Column | str) -> Column:
     """The last 32 hexadecimal digits in lower case, or the trimmed lower-case text where there are fewer; blank becomes null."""
     c = F.col(col) if isinstance(col, str) else col
