@@ -7,8 +7,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cotejo.llm import history, languages, mixing, packing, textscan, tokens
+from cotejo.llm import history, languages, mixing, packing, segments, textscan, tokens
 from cotejo.llm.lookalikes import judged_fields, repaired_fields, repair_characters
+from cotejo.runtime import spread_join
 
 VOCAB = [f"palabra{i}" for i in range(4000)]
 
@@ -133,7 +134,7 @@ def test_texts_of_common_passages_are_still_paired(spark):
     docs = [(k, 1 if k < 40 else 2, " ".join(edited(rng, base, 0.03)), None) for k in range(60)]
     docs += [(100 + k, 1 + k % 2, " ".join(words(rng, 50)), None) for k in range(20)]
     df = spark.createDataFrame(docs, "doc_id long, pass int, text string, document_id string")
-    got = {tuple(r) for r in history.history_pairs(df, limits=(1, 1, 1, 1)).collect()}
+    got = {tuple(r) for r in history.history_pairs(df, narrow=1).collect()}
     assert got == brute(docs) and len(got) > 700
 
 
@@ -169,7 +170,7 @@ def test_every_text_has_places():
     texts = [words(rng, 100) * 50, words(rng, 2000) * 3, words(rng, 20), words(rng, 60), words(rng, 3000)]
     hashes = textscan.mix(np.array([ids[w] for t in texts for w in t], np.uint64) + np.uint64(1))
     for seed in range(40):
-        own, key, *_ = history._anchors(hashes ^ textscan.mix(np.array([seed], np.uint64)), np.append(0, np.cumsum([len(t) for t in texts])), history.ANCHORS)
+        own, key = history._anchors(hashes ^ textscan.mix(np.array([seed], np.uint64)), np.append(0, np.cumsum([len(t) for t in texts])), history.ANCHORS)
         # 48 of 5000 places of about 100 kinds are at least 25 kinds
         assert (np.bincount(own) >= [25, 40, 13, 48, 48]).all()
         assert len(set(zip(own.tolist(), key.tolist(), strict=True))) == len(own)
@@ -194,51 +195,83 @@ def test_width_of_ranges_changes_no_pair(spark):
     docs = [(k, 1 + k % 2, " ".join(edited(rng, base, 0.02 if k % 3 else 0.14)), None) for k in range(60)]
     df = spark.createDataFrame(docs, "doc_id long, pass int, text string, document_id string")
     want = brute(docs)
-    for limits in ((1, 1, 1, 1), history.SELECTIVE, (1 << 30, 0, 0, 0)):
-        assert {tuple(r) for r in history.history_pairs(df, limits=limits).collect()} == want
+    # pair by pair, in blocks, in cells of few texts, hot from the start; with bags looked up and with bags joined
+    for ways in ({}, {"narrow": 1}, {"narrow": 1, "most": 5, "cell": 7}, {"common": 2, "most": 4, "cell": 7}, {"narrow": 1, "most": 0, "cell": 16}, {"count": history.EVERY}):
+        assert {tuple(r) for r in history.history_pairs(df, **ways).collect()} == want, ways
     assert len(want) > 200
 
 
-def test_segments_find_every_range():
+def test_segments_find_every_range(tmp_path):
     rng = np.random.default_rng(1)
-    seg = history.Segments()
-    kept = []
-    for _ in range(6):
-        s = np.zeros(200, history._SUFFIX)
-        s["key"], s["e1"], s["e2"], s["e3"] = (rng.integers(0, m, 200) for m in (20, 3, 3, 2))
-        s["fp"] = rng.integers(1, 1 << 40, 200)
-        kept.append(s)
-        seg.add(s)
-    assert len(seg.parts) < 6
-    everything = np.concatenate(kept)
-    q = everything[:50]
-    at, fp, _ = seg.search(q, (4, 8, 10_000, 10_000))
-    for k in range(50):
-        for depth, limit in ((1, 4), (2, 8), (3, 10_000)):
-            same = np.ones(len(everything), bool)
-            for c in ("key", "e1", "e2", "e3")[:depth]:
-                same &= everything[c] == q[c][k]
-            if 0 < same.sum() <= limit:
-                assert sorted(fp[at == k].tolist()) == sorted(everything["fp"][same].tolist())
-                break
-    texts, n, _ = seg.wide_texts(3)
-    groups = {}
-    for r in everything:
-        groups.setdefault((r["key"], r["e1"], r["e2"]), []).append(int(r["fp"]))
-    want = [x for g in groups.values() if len(g) > 3 for x in g]
-    assert sorted(np.repeat(texts, n).tolist()) == sorted(want)
-
-
-def test_stored_segments_serve_a_new_batch(spark, tmp_path):
+    parts = []
+    for n in range(6):
+        parts.append(segments.Segment(rng.integers(0, 50, 200).astype(np.uint32), rng.integers(1, 1 << 40, 200).astype(np.uint64), rng.integers(0, 9, 200).astype(np.uint8), np.array([n], np.uint32)))
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.merged(p)
+    merged.write(f"file:{tmp_path}/a/0")
+    again = segments.Segment.read(f"file:{tmp_path}/a/0")
+    assert len(again) == len(merged) == 1200 and again.hot.tolist() == list(range(6))
+    lo, hi = again.span(np.arange(60, dtype=np.uint32))
+    for k in range(60):
+        assert sorted(again.texts(slice(lo[k], hi[k])).tolist()) == sorted(int(x) for p in parts for x in p.texts(p.keys == k))
+
+
+def test_bags_never_rule_out_a_near_pair():
+    rng = random.Random(4)
+    ids = {w: np.uint64(k + 1) for k, w in enumerate(VOCAB)}
+    for n in (5, 30, 200, 1500):
+        a = words(rng, n) + ["palabra1"] * (n // 3)
+        texts = [a, edited(rng, a, 0.15), edited(rng, a, 0.25)]
+        hashes = textscan.mix(np.array([ids[w] for t in texts for w in t], np.uint64))
+        starts = np.append(0, np.cumsum([len(t) for t in texts]))
+        for buckets in (segments.COARSE, segments.FINE):
+            s = segments.sketches(hashes, starts, buckets)
+            for x, y in ((0, 1), (0, 2), (1, 2)):
+                if lcs(texts[x], texts[y]) >= 0.8 * len(a):
+                    assert segments.roomy(s[[x]], s[[y]])[0]
+            pairs = {(int(i), int(j)) for p, q in segments.roomy_blocks(s, s) for i, j in zip(p, q, strict=True)}
+            assert pairs == {(x, y) for x in range(3) for y in range(3) if segments.roomy(s[[x]], s[[y]])[0]}
+
+
+def candidates(spark, store, n):
+    at = f"{store.root}/matches/{n}"
+    return {(r["a"], r["b"]) for r in spark.read.schema(history._ROWS).parquet(at).filter(f"kind = {history.PAIR}").collect()}
+
+
+def test_only_the_new_batch_is_searched(spark, tmp_path):
+    """Three stored batches that repeat each other, and a new one: no pair of old texts comes up again, and no file is changed."""
     rng = random.Random(8)
-    base = [" ".join(words(rng, 80)) for _ in range(6)]
-    old = spark.createDataFrame([(k, 1, t) for k, t in enumerate(base)], "id long, batch int, text string")
-    new = spark.createDataFrame([(10 + k, 2, " ".join(edited(rng, t.split(), 0.05))) for k, t in enumerate(base[:3])], "id long, batch int, text string")
-    for p in (0, 1):
-        history.write_segment(old.filter(f"id % 2 = {p}"), str(tmp_path), f"segment-{p}", 4)
-    got = history.match_stored(new, str(tmp_path), 4).filter("kind = 1").groupBy("x", "y").sum("hits")
-    want = history.match_batches(history.suffix_blobs(old.unionByName(new), 4), 4).filter("kind = 1").groupBy("x", "y").sum("hits")
-    assert got.count() == 3 and got.exceptAll(want).isEmpty()
+    base = [words(rng, 80) for _ in range(9)]
+    store = history.History(spark, f"file:{tmp_path}/store", 4)
+    pairs = []
+    for n in (1, 2, 3):
+        docs = [(10 * n + k, " ".join(base[k] if n == 1 else edited(rng, base[k], 0.04)), f"k{n}{k}") for k in range(3 * n)]
+        pairs.append({tuple(r) for r in store.add(spark.createDataFrame(docs, "id long, text string, key string"), n).pairs.collect()})
+    # base 0-2 come from batch 1, 3-5 from batch 2, 6-8 from batch 3; a repeat is not accepted
+    assert pairs == [set(), {(10 + k, 20 + k) for k in range(3)}, {(10 + k, 30 + k) for k in range(3)} | {(20 + k, 30 + k) for k in range(3, 6)}]
+    assert store.segments == [("m2-b1-b2", 9), ("b3", 9)] or len(store.segments) < 3
+    before = {p: p.read_bytes() for p in (tmp_path / "store" / "segments").rglob("*") if p.is_file() and not p.name.startswith(".")}
+    again = history.History(spark, f"file:{tmp_path}/store")
+    assert (again.batches, again.segments, again.shards) == (store.batches, store.segments, 4)
+    fresh = [(40, " ".join(edited(rng, base[7], 0.05)), None), (41, " ".join(words(rng, 80)), "k10"), (42, " ".join(words(rng, 80)), None)]
+    added = again.add(spark.createDataFrame(fresh, "id long, text string, key string"), 4)
+    assert {tuple(r) for r in added.pairs.collect()} == {(37, 40), (10, 41)}
+    new = {r["fp"] >> 24 & (1 << 40) - 1 for r in again.members_of(4).collect()}
+    assert all(x in new for x, _ in candidates(spark, again, 4)) and len(candidates(spark, again, 4)) <= 2
+    kept = {p for p in before if p.exists()}
+    assert kept and all(p.read_bytes() == before[p] for p in kept)
+    with pytest.raises(ValueError, match="already"):
+        again.add(spark.createDataFrame(fresh, "id long, text string, key string"), 4)
+
+
+def test_large_classes_are_spread(spark):
+    """A text of which both batches hold many copies: every pair comes out, once."""
+    docs = [(k, 1 + k % 2, "uno dos tres cuatro cinco", None) for k in range(60)] + [(100, 1, "otro", None)]
+    df = spark.createDataFrame(docs, "doc_id long, pass int, text string, document_id string")
+    assert history.history_pairs(df).count() == 900
+    left, right = df.select("doc_id", "text"), df.select(df.doc_id.alias("other"), "text")
+    assert spread_join(left, right, ["text"], most=1000, least=10).count() == left.join(right, "text").count() == 3601
 
 
 # --- languages --------------------------------------------------------------------------------------------------------------
