@@ -90,7 +90,21 @@ def backoff_ms(attempt: Column | str, base_ms: int, most_ms: int, draw: Column)
     return F.floor(draw * (backoff_cap_ms(attempt, base_ms, most_ms) + 1)).cast("long")
 
 
-def classify_status(status: Column | str, preflight: Column | None = None) -> Column:
+def classify_status(status: Column | str) -> Column:
     """Class of a response code; null for success."""
     s = _col(status)
     return F.when(s == 429, "rate_limit").when(s == 403, "access").when(s.isin(*TRANSIENT_STATUSES), "http_transient").when(s >= 400, "http_permanent")
+
+
+def status_verdict(status: Column | str, attempt: Column | str, preflight: Column, empty_body: Column | None = None, panel_missing: Column | None = None) -> Column:
+    """{class, retryable, restart} of a logged response; the class is null for success.
+
+    A refused access is worth one more try with a new session, except before the session began; an empty server error and a success
+    without the expected panel mean that the session is gone. Null conditions count as false.
+    """
+    s, first = _col(status), ~F.coalesce(preflight, F.lit(False)) & (_col(attempt) == 1)
+    holds = lambda c: F.lit(False) if c is None else F.coalesce(c, F.lit(False))
+    gone, lacking = (s == 500) & holds(empty_body), (s == 200) & holds(panel_missing)
+    kind = F.when(gone, "session_invalid").when(lacking, "structural").otherwise(classify_status(s))
+    restart = gone | lacking | ((s == 403) & first)
+    return F.struct(kind.alias("class"), F.coalesce(restart | kind.isin("rate_limit", "http_transient"), F.lit(False)).alias("retryable"), F.coalesce(restart, F.lit(False)).alias("restart"))

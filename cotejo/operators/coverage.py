@@ -60,3 +60,25 @@ def foreign_key_gaps(tables: Mapping[str, DataFrame], links: Sequence[tuple[str,
         n = tables[t].join(target, list(cols), "left_anti").agg(F.lit(f"{t}({','.join(cols)})->{other}").alias("link"), F.count(F.lit(1)).alias("rows_without"))
         out = n if out is None else out.unionByName(n)
     return out
+
+
+def provenance_breaks(rows: DataFrame, sources: DataFrame, key: str, same: Sequence[str]) -> DataFrame:
+    """(key, broken): what each row and its source (unique on key) do not agree in, null-safe; rows that agree in all give none.
+
+    A row without a source breaks in the key itself.
+    """
+    found = rows.select(key, *same).join(sources.select(key, *[F.col(c).alias(f"_{c}") for c in same], F.lit(True).alias("_there")), key, "left")
+    differs = [F.when(F.col("_there").isNotNull() & ~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(c)) for c in same]
+    broken = F.array_compact(F.array(F.when(F.col("_there").isNull(), F.lit(key)), *differs))
+    return found.select(key, F.explode(broken).alias("broken"))
+
+
+def file_verdicts(events: DataFrame, files: DataFrame, least: int, magic: bytes = b"%PDF-") -> DataFrame:
+    """(document, verdict) of events that name a stored file (document, path, bytes, sha256), held against the files there are (path,
+    content): missing, size, too_small, signature, hash or ok. One join by path; the content is read once and stays in its task."""
+    seen = files.select("path", F.length("content").alias("_size"), F.substring("content", 1, len(magic)).alias("_magic"), F.sha2("content", 256).alias("_hash"))
+    verdict = (
+        F.when(F.col("_size").isNull(), "missing").when(~F.col("_size").eqNullSafe(F.col("bytes")), "size").when(F.col("_size") < least, "too_small")
+        .when(F.col("_magic") != F.lit(magic), "signature").when(~F.col("_hash").eqNullSafe(F.lower("sha256")), "hash").otherwise("ok")
+    )
+    return events.join(seen, "path", "left").select("document", verdict.alias("verdict"))

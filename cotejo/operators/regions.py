@@ -39,6 +39,14 @@ def count_equations(rollup: DataFrame, regions: DataFrame, published: int | None
     )
 
 
+def partition_gap(totals: DataFrame, partition: str, total: str, published: int) -> DataFrame:
+    """(partition, total, gap): what each partition announces and, in the row without a partition, their sum and what it lacks of the
+    published total. A total that is not known leaves the sum unknown."""
+    known = F.count(F.lit(1)) == F.count(total)
+    rolled = totals.rollup(partition).agg(F.when(known, F.sum(total)).alias("total"), F.grouping(partition).alias("_all"))
+    return rolled.select(partition, "total", F.when(F.col("_all") == 1, F.lit(published).cast("long") - F.col("total")).alias("gap"))
+
+
 def collision_statistics(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row: distinct keys, keys held more than once, occurrences beyond the first, and the largest multiplicity."""
     per = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

@@ -40,3 +40,8 @@ def logical_pending(opened: DataFrame, key: str = "failure_id", by: Sequence[str
 def resolution_events(opened: DataFrame, pending: DataFrame, at: Column, key: str = "failure_id", by: Sequence[str] = ("phase", "document_id")) -> DataFrame:
     """The events that close every open failure but the canonical one of its document and phase."""
     return opened.join(pending.select(*by, "canonical_id"), list(by)).filter(F.col(key) != F.col("canonical_id")).select(key, *by, F.lit("resolved").alias("resolution"), at.alias("resolved_at"))
+
+
+def resolve_all(opened: DataFrame, documents: DataFrame, at: Column, key: str = "failure_id", by: Sequence[str] = ("phase", "document_id")) -> DataFrame:
+    """The events that close every open failure of some documents (by...): one row per failure, appended to the ledger as they are."""
+    return opened.join(documents.select(*by).distinct(), list(by), "left_semi").select(key, *by, F.lit("resolved").alias("resolution"), at.alias("resolved_at"))

@@ -101,6 +101,14 @@ def resolution_events(spark: SparkSession, d: str) -> DataFrame:
     return state.resolution_events(opened, state.logical_pending(opened), F.lit("2026-01-01").cast("timestamp")).drop("resolved_at")
 
 
+@query(f"SELECT failure_id, phase, document_id, 'resolved' AS resolution FROM {_OPEN} WHERE document_id IN (SELECT document FROM {_DOC})")
+def resolved_failures_of_stored(spark: SparkSession, d: str) -> DataFrame:
+    """The events that close every open failure of the stored documents."""
+    opened = state.open_failures(failures(spark, d))
+    stored = coverage.existing_in(opened.select("phase", F.col("document_id").alias("document")), documents(spark, d), ["document"])
+    return state.resolve_all(opened, stored.withColumnRenamed("document", "document_id"), F.lit("2026-01-01").cast("timestamp")).drop("resolved_at")
+
+
 @query(f"SELECT phase, count(*) AS open_failures FROM {_OPEN} GROUP BY phase")
 def open_failure_counts(spark: SparkSession, d: str) -> DataFrame:
     return state.open_failures(failures(spark, d)).groupBy("phase").agg(F.count(F.lit(1)).alias("open_failures"))
@@ -353,6 +361,52 @@ def foreign_key_gaps(spark: SparkSession, d: str) -> DataFrame:
     return coverage.foreign_key_gaps(tables, _GAPS)
 
 
+@query(f"SELECT partition_id, count(*) AS rows, count(DISTINCT document) AS documents FROM {_DOC} GROUP BY partition_id")
+def documents_per_partition(spark: SparkSession, d: str) -> DataFrame:
+    return documents(spark, d).groupBy("partition_id").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("document").alias("documents"))
+
+
+@query("SELECT phase, count(*) FILTER (http_status = 429 AND next_retry_at IS NULL) AS rate_limited, count(*) AS attempts_logged FROM failures GROUP BY phase")
+def rate_limited_attempts(spark: SparkSession, d: str) -> DataFrame:
+    """Answers 429 per phase; rows that only record a delay before the next try are no answers of their own."""
+    return table(spark, d, "failures").groupBy("phase").agg(F.count_if((F.col("http_status") == 429) & F.col("next_retry_at").isNull()).alias("rate_limited"), F.count(F.lit(1)).alias("attempts_logged"))
+
+
+_TOTALS = "(SELECT partition_id, sum(final_total)::bigint AS total FROM replay_passes WHERE pass = 1 GROUP BY partition_id)"
+
+
+@query(f"SELECT partition_id, total, NULL::bigint AS gap FROM {_TOTALS} UNION ALL SELECT NULL, sum(total)::bigint, (670050 - sum(total))::bigint FROM {_TOTALS}")
+def partition_gaps(spark: SparkSession, d: str) -> DataFrame:
+    totals = table(spark, d, "replay_passes").filter("pass = 1").groupBy("partition_id").agg(F.sum("final_total").alias("total"))
+    return regions.partition_gap(totals, "partition_id", "total", 670_050)
+
+
+_SOURCES = f"(SELECT {k('native_id')} AS document, arg_min(partition_id, record_id) AS p, arg_min(page, record_id) AS n, arg_min(record_index, record_id) AS i FROM list_records GROUP BY 1)"
+
+
+@query(f"""WITH j AS (SELECT d.*, s.document AS src, p, n, i FROM (SELECT DISTINCT document, partition_id, source_page, source_row FROM {_DOC}) d LEFT JOIN {_SOURCES} s USING (document))
+SELECT document, unnest(list_filter([CASE WHEN src IS NULL THEN 'document' END, CASE WHEN src IS NOT NULL AND partition_id IS DISTINCT FROM p THEN 'partition_id' END, CASE WHEN src IS NOT NULL AND source_page IS DISTINCT FROM n THEN 'source_page' END, CASE WHEN src IS NOT NULL AND source_row IS DISTINCT FROM i THEN 'source_row' END], lambda x: x IS NOT NULL)) AS broken FROM j""")
+def provenance_breaks(spark: SparkSession, d: str) -> DataFrame:
+    """What stored documents and the list rows they were read from do not agree in."""
+    first = lambda c: F.min_by(c, "record_id")
+    sources = table(spark, d, "list_records").groupBy(uuid_key("native_id").alias("document")).agg(first("partition_id").alias("partition_id"), first("page").alias("source_page"), first("record_index").alias("source_row"))
+    stored = documents(spark, d).select("document", "partition_id", "source_page", "source_row").distinct()
+    return coverage.provenance_breaks(stored, sources, "document", ["partition_id", "source_page", "source_row"])
+
+
+_STORED = f"(SELECT {k('document_id')} AS path, arg_min(encode(text), doc_id) AS content FROM documents GROUP BY 1)"
+
+
+@query(f"""WITH e AS (SELECT ledger_seq AS document, {k('document_id')} AS path, byte_count AS bytes, sha256_hex AS sha FROM download_manifest WHERE pdf_state = 'downloaded'),
+j AS (SELECT e.*, octet_length(content) AS size, content, f.path IS NOT NULL AS there FROM e LEFT JOIN {_STORED} f USING (path))
+SELECT document, CASE WHEN NOT there THEN 'missing' WHEN size IS DISTINCT FROM bytes THEN 'size' WHEN size < 300 THEN 'too_small' WHEN sha256(content) IS DISTINCT FROM lower(sha) THEN 'hash' ELSE 'ok' END AS verdict FROM j""")
+def file_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    """Downloaded files held against contents: a document's first text stands in for its file."""
+    events = table(spark, d, "download_manifest").filter("pdf_state = 'downloaded'").select(F.col("ledger_seq").alias("document"), uuid_key("document_id").alias("path"), F.col("byte_count").alias("bytes"), F.col("sha256_hex").alias("sha256"))
+    texts = table(spark, d, "documents").groupBy(uuid_key("document_id").alias("path")).agg(F.min_by("text", "doc_id").alias("text"))
+    return coverage.file_verdicts(events, texts.select("path", F.encode("text", "UTF-8").alias("content")), 300, b"")
+
+
 # --- validation --------------------------------------------------------------------------------------------------------------
 
 
@@ -460,6 +514,13 @@ def resumed_rows(spark: SparkSession, d: str) -> DataFrame:
     return limits.resume_from(table(spark, d, "scraped_documents"), "source_page", "source_row", (100, 5)).select("ledger_seq", "source_page", "source_row")
 
 
+@query("""SELECT ledger_seq, CASE WHEN http_status = 500 AND message = '' THEN 'session_invalid' WHEN http_status = 429 THEN 'rate_limit' WHEN http_status = 403 THEN 'access' WHEN http_status IN (408, 425, 500, 502, 503, 504) THEN 'http_transient' WHEN http_status >= 400 THEN 'http_permanent' END AS kind,
+coalesce(http_status IN (429, 408, 425, 500, 502, 503, 504) OR (http_status = 403 AND phase <> 'preflight' AND attempts = 1), false) AS retry, coalesce((http_status = 500 AND message = '') OR (http_status = 403 AND phase <> 'preflight' AND attempts = 1), false) AS restart FROM failures""")
+def status_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    verdict = web.status_verdict("http_status", "attempts", F.col("phase") == "preflight", F.col("message") == "")
+    return table(spark, d, "failures").select("ledger_seq", verdict.alias("v")).select("ledger_seq", F.col("v.class").alias("kind"), F.col("v.retryable").alias("retry"), "v.restart")
+
+
 # --- sets --------------------------------------------------------------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identity import split_known
+from ..functions.text import redacted_error
 
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: Labels of result lists and of detail panels, and the names they get.
@@ -304,7 +305,7 @@ def partial_response(xml: str, strict: bool = False) -> dict:
             raise StructureError("a redirect without address")
         return {"kind": "redirect", "url": redirect.get("url"), "updates": {}, "name": None, "message": None}
     if (error := root.find("error")) is not None:
-        return {"kind": "error", "name": squeezed(error.findtext("error-name") or "") or "unknown", "message": squeezed(error.findtext("error-message") or ""), "updates": {}, "url": None}
+        return {"kind": "error", "name": squeezed(error.findtext("error-name") or "") or "unknown", "message": redacted_error(squeezed(error.findtext("error-message") or "")), "updates": {}, "url": None}
     updates: dict[str, str] = {}
     for u in root.findall("changes/update"):
         if u.get("id") is None:
@@ -406,11 +407,14 @@ def page_controls(pages: DataFrame, key: str, html: str, form_id: str | None = N
     return _over(pages, key, html, CONTROLS, one, strict)
 
 
-def page_updates(pages: DataFrame, key: str, xml: str, strict: bool = False) -> DataFrame:
-    """(page_key, kind, updates as JSON, url, name, message, error) of captured partial responses."""
+def page_updates(pages: DataFrame, key: str, xml: str, strict: bool = False, lenient: bool = False) -> DataFrame:
+    """(page_key, kind, updates as JSON, url, name, message, error) of captured partial responses.
+
+    lenient: document types and updates without id are passed over, of repeated updates the last counts.
+    """
 
     def one(body: str) -> list[dict]:
-        got = partial_response(body, strict=True)
+        got = partial_response(body, strict=not lenient)
         return [{**got, "updates": json.dumps(got["updates"], ensure_ascii=False)}]
 
     return _over(pages, key, xml, "page_key string, kind string, updates string, url string, name string, message string, error string", one, strict)

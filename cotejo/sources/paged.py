@@ -1,13 +1,15 @@
 """Captured pages as a Spark data source, in batches and as a stream: ``spark.read.format("captured_pages").load(folder)``.
 
-A capture is a folder with a folder per partition, in which page files are named by their number. The reader plans one task per
-partition folder; the stream's offset is the number of pages each partition has had, so a run goes on where it stopped.
+A capture is a folder with a folder per partition, in which page files are named by their number. The reader plans a task for every
+``pagesPerTask`` pages of a folder. The stream's offset says which pages each partition has had, as ranges of their numbers, so a run
+goes on where it stopped and a page that arrives after higher ones is still read.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import SparkSession
@@ -34,49 +36,81 @@ def _read(folder: str, partition: str, least: int = 0, most: int | None = None)
                 yield partition, page, f.read()
 
 
-class _Folder(InputPartition):
-    def __init__(self, name: str):
-        self.name = name
+class _Pages(InputPartition):
+    def __init__(self, folder: str, first: int, last: int):
+        self.folder, self.first, self.last = folder, first, last
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.folder, self.wanted = options["path"], options["partitions"].split(",") if options.get("partitions") else None
-        self.least, self.most = int(options.get("afterpage", 0)), int(options["maxpages"]) if options.get("maxpages") else None
+        self.path, self.wanted = options["path"], options["partitions"].split(",") if options.get("partitions") else None
+        self.least, self.each = int(options.get("afterpage", 0)), int(options.get("pagespertask", 1000))
+        self.most = self.least + int(options["maxpages"]) if options.get("maxpages") else None
 
-    def partitions(self) -> list[_Folder]:
-        return [_Folder(p) for p in _partitions(self.folder, self.wanted)]
+    def partitions(self) -> list[_Pages]:
+        out = []
+        for p in _partitions(self.path, self.wanted):
+            pages = [n for n, _ in _files(self.path, p) if n > self.least and (self.most is None or n <= self.most)]
+            out += [_Pages(p, pages[k], pages[min(k + self.each, len(pages)) - 1]) for k in range(0, len(pages), self.each)]
+        return out
 
-    def read(self, partition: _Folder) -> Iterator[tuple[str, int, str]]:
-        yield from _read(self.folder, partition.name, self.least, None if self.most is None else self.least + self.most)
+    def read(self, partition: _Pages) -> Iterator[tuple[str, int, str]]:
+        yield from _read(self.path, partition.folder, partition.first - 1, partition.last)
+
+
+Ranges = list[list[int]]
+
+
+def _within(ranges: Ranges, n: int) -> bool:
+    at = bisect_right(ranges, n, key=lambda r: r[0]) - 1
+    return at >= 0 and n <= ranges[at][1]
+
+
+def _with(ranges: Ranges, pages: Sequence[int]) -> Ranges:
+    """Ranges of page numbers with some more pages; there is one range more than there are gaps."""
+    out: Ranges = []
+    for lo, hi in sorted([*ranges, *([n, n] for n in pages)]):
+        if out and lo <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return out
 
 
 class _Stream(SimpleDataSourceStreamReader):
+    """One trigger reads at most ``pagesPerTrigger`` new pages of each partition."""
+
     def __init__(self, options: dict[str, str]):
         self.folder, self.each = options["path"], int(options.get("pagespertrigger", 10))
 
-    def initialOffset(self) -> dict[str, int]:  # noqa: N802
+    def initialOffset(self) -> dict[str, Ranges]:  # noqa: N802
         return {}
 
-    def read(self, start: dict[str, int]) -> tuple[Iterator[tuple[str, int, str]], dict[str, int]]:
-        rows, end = [], dict(start)
+    def read(self, start: dict[str, Ranges]) -> tuple[Iterator[tuple[str, int, str]], dict[str, Ranges]]:
+        end = dict(start)
         for p in _partitions(self.folder, None):
-            new = [(n, f) for n, f in _files(self.folder, p) if n > int(start.get(p, 0))][: self.each]
+            had = start.get(p, [])
+            new = [n for n, _ in _files(self.folder, p) if not _within(had, n)][: self.each]
             if new:
-                end[p] = new[-1][0]
-                rows += list(_read(self.folder, p, int(start.get(p, 0)), new[-1][0]))
-        return iter(rows), end
-
-    def readBetweenOffsets(self, start: dict[str, int], end: dict[str, int]) -> Iterator[tuple[str, int, str]]:  # noqa: N802
-        for p, most in end.items():
-            yield from _read(self.folder, p, int(start.get(p, 0)), int(most))
-
-    def commit(self, end: dict[str, int]) -> None:
+                end[p] = _with(had, new)
+        return self.readBetweenOffsets(start, end), end
+
+    def readBetweenOffsets(self, start: dict[str, Ranges], end: dict[str, Ranges]) -> Iterator[tuple[str, int, str]]:  # noqa: N802
+        rows = []
+        for p, ranges in end.items():
+            had = start.get(p, [])
+            for page, path in _files(self.folder, p) if ranges != had else ():
+                if _within(ranges, page) and not _within(had, page):
+                    with open(path, encoding="utf-8") as f:
+                        rows.append((p, page, f.read()))
+        return iter(rows)
+
+    def commit(self, end: dict[str, Ranges]) -> None:
         pass
 
 
 class CapturedPages(DataSource):
-    """Options: path, partitions (names, comma between), afterPage, maxPages, pagesPerTrigger."""
+    """Options: path, partitions (names, comma between), afterPage, maxPages, pagesPerTask, pagesPerTrigger."""
 
     @classmethod
     def name(cls) -> str:

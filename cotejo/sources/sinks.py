@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import hashlib
 import json
 import os
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -21,14 +24,16 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 
 def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> int:
-    """Rows whose key the Parquet table at path does not have yet, one per key, appended; how many there were.
+    """Rows whose key the Parquet table at path does not have yet, one per key, appended; how many there were. Null keys are equal.
 
     Writing the same rows again appends nothing, so a run may be repeated after any failure.
     """
     spark = df.sparkSession
     fresh = df.dropDuplicates(list(keys))
     if exists(spark, path):
-        fresh = fresh.join(spark.read.parquet(path).select(*keys), list(keys), "left_anti")
+        known = spark.read.parquet(path).select(*[F.col(c).alias(f"_known_{c}") for c in keys])
+        # null is a key like others, as it is for dropDuplicates
+        fresh = fresh.join(known, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in keys]), "left_anti")
     fresh = fresh.persist()
     try:
         n = fresh.count()
@@ -92,6 +97,75 @@ def keep_plan(path: str, plan: dict[str, Any]) -> dict[str, Any]:
     return plan
 
 
+#: What a resume point must say.
+CHECKPOINT_FIELDS = {"baseUrl": str, "queryHash": str, "partitionId": str, "page": int}
+
+
+class CheckpointError(ValueError):
+    """A resume point that cannot be used, and why."""
+
+
+def save_checkpoint(path: str, state: dict[str, Any]) -> None:
+    """A resume point replaced at once; one that lacks a field is refused before anything is written."""
+    replace_file(path, json.dumps(_valid_checkpoint(state), ensure_ascii=False) + "\n")
+
+
+def _valid_checkpoint(state: Any) -> dict[str, Any]:
+    wrong = [k for k, kind in CHECKPOINT_FIELDS.items() if not isinstance(state, dict) or type(state.get(k)) is not kind]
+    if wrong or state["page"] < 1:
+        raise CheckpointError(f"no valid resume point: {', '.join(wrong) or 'page'}")
+    return state
+
+
+def load_checkpoint(path: str) -> dict[str, Any] | None:
+    """The resume point, null where none was ever written. Leftovers beside a valid one are removed; leftovers without one are an
+    error, because it cannot be told whether they are whole."""
+    folder, name = os.path.split(os.path.abspath(path))
+    rest = [os.path.join(folder, f) for f in (os.listdir(folder) if os.path.isdir(folder) else []) if f.startswith(f".{name}.") and f.endswith(".tmp")]
+    if not os.path.exists(path):
+        if rest:
+            raise CheckpointError(f"no resume point but leftovers of a write: {', '.join(map(os.path.basename, sorted(rest)))}")
+        return None
+    try:
+        with open(path, encoding="utf-8") as f:
+            state = _valid_checkpoint(json.load(f))
+    except json.JSONDecodeError as e:
+        raise CheckpointError("no valid resume point: no JSON") from e
+    for f in rest:
+        os.unlink(f)
+    return state
+
+
+def resume_place(state: dict[str, Any] | None, base_url: str, query_hash: str, partitions: Sequence[str]) -> tuple[str, int] | None:
+    """Partition and page to go on from; a resume point of another address, query or set of partitions is an error."""
+    if state is None:
+        return None
+    wrong = [n for n, ok in (("baseUrl", state["baseUrl"] == base_url), ("queryHash", state["queryHash"] == query_hash), ("partitionId", state["partitionId"] in partitions)) if not ok]
+    if wrong:
+        raise CheckpointError(f"the resume point is of another run: {', '.join(wrong)}")
+    return state["partitionId"], state["page"]
+
+
+def store_content(folder: str, name: str, body: bytes, least: int, most: int, magic: bytes = b"%PDF-", expected: int | None = None) -> dict[str, Any]:
+    """A file that is there only once its content was found good: written beside its place, checked, renamed. {code, bytes, sha256};
+    with a code nothing is left behind, and a file that was there stays."""
+    path, size = contained(folder, name), len(body)
+    faults = (("EMPTY", size == 0), ("TOO_LARGE", size > most), ("TOO_SMALL", size < least), ("INVALID_SIGNATURE", not body.startswith(magic)), ("INCOMPLETE", expected is not None and size != expected))
+    code = next((c for c, wrong in faults if wrong), None)
+    if code is None:
+        beside = f"{path}.{uuid.uuid4().hex}.part"
+        try:
+            with open(beside, "xb") as f:
+                f.write(body)
+                f.flush()
+                os.fsync(f.fileno())
+            os.replace(beside, path)
+        finally:
+            with contextlib.suppress(FileNotFoundError):
+                os.unlink(beside)
+    return {"code": code, "bytes": size, "sha256": None if code else hashlib.sha256(body).hexdigest()}
+
+
 def summary_line(df: DataFrame) -> str:
     """A one-row summary as one line of JSON."""
     return df.limit(1).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).first()["j"]

@@ -106,3 +106,17 @@ def test_fields(spark):
 def test_composite(one):
     assert one("A  b", lambda c: identity.composite_identity([c, F.lit("C")])) == "a b\x1fc"
     assert one(" ", lambda c: identity.composite_identity([c, F.lit("C")])) is None
+
+
+def test_redaction_is_one_for_columns_and_texts(one):
+    for raw in ("Bearer abc.def?token=x y", "a Basic Zm9v&access_token=1&b=2", "?javax.faces.ViewState=q", "nada", "bearer   x"):
+        assert one(raw, text.redact) == text.redacted_text(raw)
+    for raw in ("javax.faces.ViewState : abc token=zz", "Cookie: a=b c", " authorization=x"):
+        assert one(raw, text.redact_error) == text.redacted_error(raw)
+
+
+def test_status_verdict(spark):
+    rows = [(429, 1, False, False, False), (403, 1, False, False, False), (403, 2, False, False, False), (403, 1, True, False, False), (500, 1, False, True, False), (500, 1, False, False, False), (200, 1, False, False, True), (200, 1, False, False, False), (404, 1, None, None, None), (None, 1, False, False, False)]
+    df = spark.createDataFrame(rows, "s int, a int, p boolean, e boolean, m boolean")
+    got = [tuple(r["v"]) for r in df.select(web.status_verdict("s", "a", F.col("p"), F.col("e"), F.col("m")).alias("v")).collect()]
+    assert got == [("rate_limit", True, False), ("access", True, True), ("access", False, False), ("access", False, False), ("session_invalid", True, True), ("http_transient", True, False), ("structural", True, True), (None, False, False), ("http_permanent", False, False), (None, False, False)]

@@ -153,6 +153,13 @@ def test_captured_pages(spark, tmp_path):
     assert run() == 6
     write(tmp_path / "cap" / "A" / "page-11.html", "A11")
     assert run() == 7
+    # pages that come after higher ones, in a gap and below all
+    write(tmp_path / "cap" / "A" / "page-5.html", "A5")
+    write(tmp_path / "cap" / "B" / "page-0.html", "B0")
+    assert run() == 9
+    assert {r["body"] for r in spark.read.parquet(out).collect()} == {"A1", "A2", "A5", "A10", "A11", "B0", "B1", "B2", "B10"}
+    tasks = read.option("pagesPerTask", "2").load(str(tmp_path / "cap"))
+    assert tasks.count() == 2 and tasks.rdd.getNumPartitions() == 1
 
 
 def test_binaries(spark, tmp_path):
@@ -164,3 +171,60 @@ def test_binaries(spark, tmp_path):
     assert spark.range(1).select(content_verdict(F.lit(b""), 8, 1000).alias("v")).first()["v"]["code"] == "EMPTY"
     got = {os.path.basename(r["path"]): r["v"]["code"] for r in ledger.binaries(spark, str(tmp_path / "f")).withColumn("v", content_verdict(F.col("content"), 8, 1000)).collect()}
     assert got == {"a": None, "c": "INVALID_SIGNATURE", "d": "TOO_SMALL"}
+
+
+def test_null_keys_are_appended_once(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (1, None), (None, None), (2, "b")], "id int, v string")
+    out = str(tmp_path / "t")
+    assert [sinks.append_new(df, out, ["id", "v"]) for _ in range(3)] == [3, 0, 0]
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_resume_points(tmp_path):
+    path, state = str(tmp_path / "c.json"), {"baseUrl": "https://h", "queryHash": "q", "partitionId": "A", "page": 7}
+    assert sinks.load_checkpoint(path) is None and sinks.resume_place(None, "", "", []) is None
+    sinks.save_checkpoint(path, state)
+    assert sinks.load_checkpoint(path) == state and sinks.resume_place(state, "https://h", "q", ["A", "B"]) == ("A", 7)
+    for args in (("https://x", "q", ["A"]), ("https://h", "r", ["A"]), ("https://h", "q", ["B"])):
+        with pytest.raises(sinks.CheckpointError, match="another run"):
+            sinks.resume_place(state, *args)
+    for bad in ({**state, "page": 0}, {**state, "page": "7"}, {"page": 1}, [], None):
+        with pytest.raises(sinks.CheckpointError):
+            sinks.save_checkpoint(path, bad)
+    (tmp_path / ".c.json.left.tmp").write_text("{")
+    assert sinks.load_checkpoint(path) == state and not (tmp_path / ".c.json.left.tmp").exists()
+    (tmp_path / "c.json").write_text("{")
+    with pytest.raises(sinks.CheckpointError, match="JSON"):
+        sinks.load_checkpoint(path)
+    (tmp_path / "c.json").rename(tmp_path / ".c.json.left.tmp")
+    with pytest.raises(sinks.CheckpointError, match="leftovers"):
+        sinks.load_checkpoint(path)
+
+
+def test_stored_content(spark, tmp_path):
+    from cotejo.operators.coverage import file_verdicts
+
+    home = tmp_path / "files"
+    home.mkdir()
+    good = b"%PDF-1.7 some body"
+    kept = sinks.store_content(str(home), "a.pdf", good, 8, 100)
+    assert kept["code"] is None and (home / "a.pdf").read_bytes() == good
+    for body, code in ((b"", "EMPTY"), (b"%PDF-", "TOO_SMALL"), (b"%PDF-" + b"x" * 200, "TOO_LARGE"), (b"<html>no file</html>", "INVALID_SIGNATURE")):
+        assert sinks.store_content(str(home), "a.pdf", body, 8, 100)["code"] == code
+    assert sinks.store_content(str(home), "b.pdf", good, 8, 100, expected=5)["code"] == "INCOMPLETE"
+    assert os.listdir(home) == ["a.pdf"] and (home / "a.pdf").read_bytes() == good
+    with pytest.raises(ValueError, match="out of"):
+        sinks.store_content(str(home), "../a.pdf", good, 8, 100)
+    path = f"file:{home}/a.pdf"
+    events = spark.createDataFrame([(1, path, len(good), kept["sha256"].upper()), (2, path, 5, kept["sha256"]), (3, path, len(good), "00"), (4, "file:/none", 1, ""), (5, None, None, None)], "document long, path string, bytes long, sha256 string")
+    got = {r["document"]: r["verdict"] for r in file_verdicts(events, ledger.binaries(spark, str(home)), 8).collect()}
+    assert got == {1: "ok", 2: "size", 3: "hash", 4: "missing", 5: "missing"}
+
+
+def test_lenient_updates(spark):
+    xml = "<partial-response><changes><update id='a'>1</update><update id='a'>2</update></changes></partial-response>"
+    error = "<partial-response><error><error-name>E</error-name><error-message>lost token=abc</error-message></error></partial-response>"
+    pages = spark.createDataFrame([("p", xml), ("q", error)], "k string, x string")
+    strict, lenient = ({r["page_key"]: r for r in markup.page_updates(pages, "k", "x", lenient=on).collect()} for on in (False, True))
+    assert strict["p"]["error"] and json.loads(lenient["p"]["updates"]) == {"a": "2"}
+    assert lenient["q"]["message"] == "lost [REDACTED]"

@@ -124,3 +124,20 @@ def test_coverage_and_limits(spark, rows):
     reg = regions.membership_regions(placed, "root", "p")
     assert rows(reg) == sorted([(["A", "B"], 1), (["A"], 1), (["C"], 1)], key=repr)
     assert rows(regions.intersections(reg)) == [("A", "B", 1), ("A", "C", 0), ("B", "C", 0)]
+
+
+def test_partition_gap_and_provenance(spark, rows):
+    totals = spark.createDataFrame([("A", 5), ("B", 7)], "p string, t long")
+    assert rows(regions.partition_gap(totals, "p", "t", 20)) == sorted([("A", 5, None), ("B", 7, None), (None, 12, 8)], key=repr)
+    unknown = totals.unionByName(spark.createDataFrame([("C", None)], "p string, t long"))
+    assert (None, None, None) in rows(regions.partition_gap(unknown, "p", "t", 20))
+    stored = spark.createDataFrame([("d1", "A", 1), ("d2", "A", None), ("d3", "B", 2), ("d4", None, 1)], "d string, p string, n int")
+    source = spark.createDataFrame([("d1", "A", 1), ("d2", "A", None), ("d3", "A", 3)], "d string, p string, n int")
+    assert rows(coverage.provenance_breaks(stored, source, "d", ["p", "n"])) == [("d3", "n"), ("d3", "p"), ("d4", "d")]
+
+
+def test_resolve_all(spark, rows):
+    opened = spark.createDataFrame([("f1", "detail", "x"), ("f2", "detail", "x"), ("f3", "download", "x"), ("f4", "detail", None)], "failure_id string, phase string, document_id string")
+    docs = spark.createDataFrame([("detail", "x"), ("detail", "x"), ("detail", None)], "phase string, document_id string")
+    got = state.resolve_all(opened, docs, F.lit("2026-01-01").cast("timestamp"))
+    assert rows(got, "failure_id", "resolution") == [("f1", "resolved"), ("f2", "resolved")]
