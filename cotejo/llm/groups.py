@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import HOT_SHARE, Scratch, dashed, lookup, materialize, release, uuid_key
+from ..runtime import HOT_SHARE, Scratch, dashed, empty, lookup, materialize, release, uuid_key
 
 HOT_LEAST = 10_000
 
@@ -32,9 +32,9 @@ def _hot(counted: DataFrame, key: str, total: int) -> DataFrame:
     return counted.filter(F.col("n") > max(HOT_LEAST, int(total * HOT_SHARE))).select(key)
 
 
-def seed_trees(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
-    """(node, root) of every vertex with an edge; root is the smallest vertex of its group. Vertices are whole numbers."""
-    ends = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u is not null and v is not null and u <> v")
+def seed_trees(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, kind: str = "long") -> DataFrame:
+    """(node, root) of every vertex with an edge; root is the smallest vertex of its group. Vertices are whole numbers of a kind."""
+    ends = edges.select(F.col(a).cast(kind).alias("u"), F.col(b).cast(kind).alias("v")).filter("u is not null and v is not null and u <> v")
     graph = materialize(ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "graph")
     trees: list[DataFrame] = []
     for _ in range(max_rounds):
@@ -54,10 +54,10 @@ def seed_trees(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         release(proposals, best)
     else:
         raise RuntimeError(f"groups did not settle in {max_rounds} rounds")
-    return _flow_down(edges, trees)
+    return _flow_down(edges, trees, kind)
 
 
-def _flow_down(edges: DataFrame, trees: list[DataFrame]) -> DataFrame:
+def _flow_down(edges: DataFrame, trees: list[DataFrame], kind: str) -> DataFrame:
     """Seeds to the vertices below them. A parent outlives its children's round, so its own root is known when theirs is asked for."""
     spark = edges.sparkSession
     known: DataFrame | None = None
@@ -72,18 +72,25 @@ def _flow_down(edges: DataFrame, trees: list[DataFrame]) -> DataFrame:
         known = reduce(DataFrame.unionByName, parts)
     release(*trees)
     if known is None:
-        return spark.createDataFrame([], "node long, root long")
+        return empty(spark, f"node {kind}, root {kind}")
     roots = known.select(F.col("root").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return known.unionByName(roots)
 
 
-def _node(c: Column | str) -> Column:
-    return F.xxhash64(c)
+#: Node numbers have 126 bits: about one equal pair is to be expected among 10^19 keys. Whole numbers of this kind are combined and
+#: compared in place, which byte strings are not.
+NODE = "decimal(38,0)"
+
 
+def _half(c: Column) -> Column:
+    return F.shiftrightunsigned(c, 1).cast("decimal(19,0)")
 
-def torn_nodes(keys: DataFrame) -> DataFrame:
-    """Node numbers that stand for two different keys, found by a second, independent hash; none is to be expected below 10^9 keys."""
-    return keys.groupBy(_node("key").alias("node")).agg(F.min(F.xxhash64(F.lit("second"), F.reverse("key"))).alias("a"), F.max(F.xxhash64(F.lit("second"), F.reverse("key"))).alias("b")).filter("a <> b").select("node")
+
+def _node(c: Column | str) -> Column:
+    """The number of an alias, from two independent hashes."""
+    c = F.col(c) if isinstance(c, str) else c
+    high, low = _half(F.xxhash64(c)), _half(F.xxhash64(F.lit("second"), F.reverse(c)))
+    return (high * F.lit(str(1 << 63)).cast("decimal(19,0)") + low).cast(NODE)
 
 
 def consolidate(sightings: DataFrame, record: list[str], aliases: list[str], key_of: Callable[[str], Column] = uuid_key) -> DataFrame:
@@ -106,10 +113,7 @@ def consolidate(sightings: DataFrame, record: list[str], aliases: list[str], key
     many = firsts.filter("n > 1").select(rec.alias("_r"), rec2.alias("_s"), "first", "n")
     across = lookup(seen.select(rec.alias("_r"), rec2.alias("_s"), "low"), many.select("_r", "_s", "first"), ["_r", "_s"], how="inner", hot=many.filter(F.col("n") > HOT_LEAST).select("_r", "_s")).filter("first <> low").select(F.col("first").alias("p"), F.col("low").alias("q"))
     pairs = scratch.keep(inside.unionByName(across).filter("p <> q").distinct(), "pairs")
-    torn = torn_nodes(pairs.select(F.col("p").alias("key")).unionByName(pairs.select(F.col("q").alias("key"))).distinct())
-    if not torn.isEmpty():
-        raise RuntimeError("two aliases share a 64-bit node number; group them with another hash")
-    roots = scratch.keep(seed_trees(pairs.select(_node("p").alias("a"), _node("q").alias("b"))), "roots")
+    roots = scratch.keep(seed_trees(pairs.select(_node("p").alias("a"), _node("q").alias("b")), kind=NODE), "roots")
     placed = lookup(firsts.select(*record, "first", _node("first").alias("node")), roots, ["node"]).select(*record, "first", F.coalesce("root", "node").alias("root"))
     placed = materialize(placed, "placed")
     scratch.clear()

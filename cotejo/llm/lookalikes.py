@@ -86,7 +86,8 @@ def judge(token: str) -> tuple[bool, str | None, bool]:
     if latin > 0 and form is not None:
         return True, form, foreign > latin
     if latin > 0:
-        return latin >= foreign, None, False
+        # a letter without a Latin look-alike is meant as it stands: a unit, a formula, a foreign word
+        return False, None, False
     return False, form, form is not None
 
 

@@ -103,3 +103,18 @@ def test_hub(spark):
     df = spark.range(40_000).selectExpr("'P' p", "cast(id as string) t", "if(id % 3 = 0, 'hub', concat('d', id)) d", "cast(null as string) f")
     got = consolidate(df, ["p", "t"], ["d", "f"], key_of=__import__("pyspark.sql.functions", fromlist=["col"]).col)
     assert got.filter("records > 1").count() == 13_334 and got.count() == 40_000
+
+
+def test_equal_hashes_link_nothing(spark, rows, monkeypatch):
+    """Two aliases with the same first hash stay two nodes: the second hash tells them apart."""
+    from pyspark.sql import functions as F
+
+    from cotejo.llm import groups
+
+    real = F.xxhash64
+    monkeypatch.setattr(groups.F, "xxhash64", lambda *c: real(F.lit("all the same")) if len(c) == 1 else real(*c))
+    df = spark.createDataFrame([("P", "1", "a", "b"), ("P", "2", "b", None), ("P", "3", "c", "d"), ("P", "4", "d", None)], "p string, t string, d string, f string")
+    got = rows(consolidate(df, ["p", "t"], ["d", "f"], key_of=F.col))
+    assert [(r[1], r[2], r[3]) for r in got] == [("1", "a", 2), ("2", "a", 2), ("3", "c", 2), ("4", "c", 2)]
+    ten = spark.range(1000).select(groups._node(F.col("id").cast("string")).alias("n"))
+    assert ten.filter("n is null or n < 0").isEmpty() and ten.distinct().count() == 1000
