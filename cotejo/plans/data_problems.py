@@ -33,7 +33,8 @@ def reference_graph(spark: SparkSession, d: str) -> dict[str, Source]:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return orphan_cascade(reference_graph(spark, d)).filter("kind = 'direct'").select("ref_table", "ref_field", F.col("row_id").alias("ledger_seq"))
+    """The first layer of the cascade: the rows whose own reference leads nowhere."""
+    return orphan_cascade(reference_graph(spark, d), inherited=False).select("ref_table", "ref_field", F.col("row_id").alias("ledger_seq"))
 
 
 def p4_direct(spark: SparkSession, d: str) -> DataFrame:

@@ -138,12 +138,13 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, least: int = 10_000) -> DataFrame:
-    """Keys holding more than ``share`` of the rows (and at least ``least`` rows): at most 1/share rows, so safe to broadcast.
+    """The keys with most rows, of those with more than ``least``: at most 1/share of them, so safe to broadcast, and every key that
+    holds more than ``share`` of the rows is among them.
 
-    The count is map-side combined; only one row per key and task is shuffled. The number of rows is taken at once.
+    The count is map-side combined; only one row per key and task is shuffled, and no row count is needed.
     """
-    most = max(least, int(df.count() * share))
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select(*keys)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > least)
+    return counted.orderBy(F.desc("_n")).limit(ceil(1 / share)).select(*keys)
 
 
 def lookup(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None, least: int = 10_000) -> DataFrame:
