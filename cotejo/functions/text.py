@@ -88,19 +88,20 @@ SECRET_STATE = ("javax.faces.ViewState",)
 SECRET_NAMES = ("token", "cookie", "authorization")
 
 
-def _told(lead: str, names: Sequence[str], gap: str, value: str, keep: bool = True) -> tuple[str, bool]:
-    """A pattern for a value behind one of some names, and whether the name stays in the text. Java and Python read it alike."""
-    name = f"{lead}(?:{'|'.join(re.escape(n) for n in names)}){gap}"
-    return (f"(?i)({name}){value}" if keep else f"(?i)(){name}{value}"), keep
+def _told(lead: str, names: Sequence[str], gap: str, value: str, keep: str = "name and gap") -> tuple[str, str]:
+    """A pattern for a value behind one of some names, and what replaces what stands behind its first group: the name and the gap stay
+    as they are, the name stays and the gap becomes one blank, or nothing stays. Java and Python read it alike."""
+    name = f"{lead}(?:{'|'.join(re.escape(n) for n in names)})"
+    return {"name and gap": (f"(?i)({name}{gap}){value}", REDACTED), "name": (f"(?i)({name}){gap}{value}", " " + REDACTED), "nothing": (f"(?i)(){name}{gap}{value}", REDACTED)}[keep]
 
 
-_IN_TEXT = (_told(r"\b", SCHEMES, r"\s+", CREDENTIAL), _told("[?&]", SECRET_PARAMETERS, "=", r"[^&\s]+"))
-_IN_ERRORS = (_told("", SECRET_STATE, r"\s*[=:]\s*", r"\S+"), _told(r"\b", SECRET_NAMES, r"\s*[=:]\s*", r"\S+", keep=False))
+_IN_TEXT = (_told(r"\b", SCHEMES, r"\s+", CREDENTIAL, keep="name"), _told("[?&]", SECRET_PARAMETERS, "=", r"[^&\s]+"))
+_IN_ERRORS = (_told("", SECRET_STATE, r"\s*[=:]\s*", r"\S+"), _told(r"\b", SECRET_NAMES, r"\s*[=:]\s*", r"\S+", keep="nothing"))
 
 
-def redact(c: Column | str, rules: Sequence[tuple[str, bool]] = _IN_TEXT) -> Column:
+def redact(c: Column | str, rules: Sequence[tuple[str, str]] = _IN_TEXT) -> Column:
     """Credentials in running text replaced."""
-    return reduce(lambda out, rule: F.regexp_replace(out, rule[0], "$1" + REDACTED), rules, _col(c))
+    return reduce(lambda out, rule: F.regexp_replace(out, rule[0], "$1" + rule[1]), rules, _col(c))
 
 
 def redact_error(c: Column | str, most: int = 500) -> Column:
@@ -108,10 +109,10 @@ def redact_error(c: Column | str, most: int = 500) -> Column:
     return F.nullif(F.substring(redact(F.trim(_col(c)), _IN_ERRORS), 1, most), F.lit(""))
 
 
-def redacted_text(v: str, rules: Sequence[tuple[str, bool]] = _IN_TEXT) -> str:
+def redacted_text(v: str, rules: Sequence[tuple[str, str]] = _IN_TEXT) -> str:
     """The same for one text in Python."""
-    for pattern, _ in rules:
-        v = re.sub(pattern, r"\1" + REDACTED, v)
+    for pattern, instead in rules:
+        v = re.sub(pattern, r"\1" + instead, v)
     return v
 
 

@@ -115,6 +115,12 @@ def test_redaction_is_one_for_columns_and_texts(one):
         assert one(raw, text.redact_error) == text.redacted_error(raw)
 
 
+@pytest.mark.parametrize("raw", ["Bearer \tabc x", "a bearer   abc x", "Basic\n\nabc x", "Bearer abc x"])
+def test_one_blank_before_a_redacted_credential(one, raw):
+    want = raw.split()[: -2] + ["[REDACTED]", "x"]
+    assert one(raw, text.redact) == text.redacted_text(raw) == " ".join(want)
+
+
 def test_status_verdict(spark):
     rows = [(429, 1, False, False, False), (403, 1, False, False, False), (403, 2, False, False, False), (403, 1, True, False, False), (500, 1, False, True, False), (500, 1, False, False, False), (200, 1, False, False, True), (200, 1, False, False, False), (404, 1, None, None, None), (None, 1, False, False, False)]
     df = spark.createDataFrame(rows, "s int, a int, p boolean, e boolean, m boolean")
