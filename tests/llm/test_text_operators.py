@@ -188,6 +188,38 @@ def test_long_repetitive_texts(spark):
     assert linked_ids(docs, spark) == near
 
 
+def test_near_texts_without_a_common_passage(spark):
+    """Every sixth word is another, or every fifth word of one is left out and others put in: no passage of 8 words is shared."""
+    rng = random.Random(41)
+    docs, near = [], set()
+    for k in range(12):
+        base = words(rng, rng.choice([120, 200, 400]))
+        swapped = [f"otra{k}x{i}" if i % 6 == 5 else w for i, w in enumerate(base)]
+        shifted = [w for i, w in enumerate(base) for w in ([w, f"nueva{k}x{i}"] if i % 10 == 9 else [] if i % 10 == 4 else [w])]
+        docs += [(3 * k, 1, " ".join(base)), (3 * k + 1, 2, " ".join(swapped)), (3 * k + 2, 2, " ".join(shifted))]
+        near |= {(j, 3 * k) for j in (3 * k + 1, 3 * k + 2)}
+    members, links = history.near_texts(spark.createDataFrame(docs, "id long, batch int, text string"))
+    fp = {r["fp"]: r["id"] for r in members.select("id", "fp").collect()}
+    assert {(fp[r["x"]], fp[r["y"]]) for r in links.collect()} == near
+
+
+def test_the_rarest_words_of_near_texts_meet():
+    """Whatever order the words have: texts with four fifths in common have a picked word in common, within the reach of both."""
+    rng = random.Random(42)
+    for seed in range(300):
+        few = rng.choice([6, 30, 4000])
+        a = [rng.randrange(few) for _ in range(rng.choice([1, 2, 5, 9, 40, 150]))]
+        b = [w for w in a if rng.random() > 0.1] if seed % 2 else [rng.randrange(few) if rng.random() < 0.15 else w for w in a]
+        if not b or lcs(a, b) < 0.8 * max(len(a), len(b)):
+            continue
+        hashes = textscan.mix(np.array(a + b, np.uint64) + np.uint64(1000 * seed))
+        tokens = history._tokens(hashes, np.repeat([0, 1], [len(a), len(b)]))
+        order = history.Order(*np.unique(tokens[: rng.choice([0, len(a), len(tokens)])], return_counts=True))
+        own, key, most = history._rarest(hashes, np.array([0, len(a), len(a) + len(b)]), 0, order)
+        sides = [{k: m for k, m, o in zip(key.tolist(), most.tolist(), own, strict=True) if o == side} for side in (0, 1)]
+        assert any(sides[0][k] >= len(b) and sides[1][k] >= len(a) for k in sides[0].keys() & sides[1].keys())
+
+
 def test_width_of_ranges_changes_no_pair(spark):
     """Texts with few and with many places in wide ranges, in one family: what is found depends on no limit."""
     rng = random.Random(21)
