@@ -85,6 +85,22 @@ def test_common_words():
         assert history.common_words(np.array(a, np.uint64), np.array(b, np.uint64), 0) == lcs(a, b)
 
 
+@pytest.mark.parametrize("held", [0, 2_000_000])
+def test_compared_texts_are_taken_apart_once(monkeypatch, held):
+    rng = random.Random(7)
+    base = [words(rng, 60) for _ in range(6)]
+    pairs = [(x, y) for x in range(6) for y in range(6)]
+    prints = [pa.array(c, pa.int64()) for c in zip(*((x, x, x, y, y, y) for x, y in pairs), strict=True)]
+    texts = [pa.array([" ".join(base[p[side]][side:]) for p in pairs]) for side in (0, 1)]
+    batch = pa.RecordBatch.from_arrays([*prints, *texts], names=[*history._LINK, "text_x", "text_y"])
+    taken = []
+    monkeypatch.setattr(history, "HELD", held)
+    monkeypatch.setattr(history, "words_of", lambda t: taken.append(len(t)) or textscan.words_of(t))
+    got = pa.Table.from_batches(history._verify(batch.slice(k, 9) for k in range(0, 36, 9)))
+    assert [(r["id_x"], r["id_y"]) for r in got.to_pylist()] == [(x, x) for x in range(6)]
+    assert held == 0 or sum(taken) == 12
+
+
 def brute(docs):
     """Accepted pairs by comparing everything with everything."""
     text = {i: (p, [w for w in t.lower().replace(",", " ").split()] if t else [], k) for i, p, t, k in docs if p is not None}
