@@ -236,6 +236,43 @@ def test_the_rarest_words_of_near_texts_meet():
         assert any(sides[0][k] >= len(b) and sides[1][k] >= len(a) for k in sides[0].keys() & sides[1].keys())
 
 
+def test_places_of_near_texts_meet():
+    """Whatever order the words have: a shared word of near texts is within reach by its places too."""
+    rng = random.Random(43)
+    tried = 0
+    for seed in range(400):
+        few = rng.choice([6, 30, 4000])
+        a = [rng.randrange(few) for _ in range(rng.choice([1, 5, 9, 40, 150, 400]))]
+        b = [w for w in a if rng.random() > 0.15] if seed % 2 else [rng.randrange(few) if rng.random() < 0.15 else w for w in a]
+        if not b or lcs(a, b) < 0.8 * max(len(a), len(b)):
+            continue
+        tried += 1
+        hashes = textscan.mix(np.array(a + b, np.uint64) + np.uint64(1000 * seed))
+        tokens = history._tokens(hashes, np.repeat([0, 1], [len(a), len(b)]))
+        order = history.Order(*np.unique(tokens[: rng.choice([0, len(a), len(tokens)])], return_counts=True))
+        own, key, most, place, gone = history._picked(hashes, np.array([0, len(a), len(a) + len(b)]), rng.choice([0, 0, history.EVERY]), order)
+        n = np.array([len(a), len(b)])
+        bounds = segments.place_bounds(n[own], gone, place)
+        sides = [{int(key[k]): k for k in np.flatnonzero(own == side)} for side in (0, 1)]
+        both = [(sides[0][k], sides[1][k]) for k in sides[0].keys() & sides[1].keys()]
+        assert any(most[i] >= len(b) and most[j] >= len(a) and segments.within(bounds[:, [i]], bounds[:, [j]])[0] for i, j in both)
+    assert tried > 150
+
+
+def test_words_far_apart_make_no_candidates(tmp_path):
+    """A text with its halves exchanged has all words of the other, but no candidate comes of it."""
+    base = [f"voz{k}" for k in range(200)]
+    root, found = str(tmp_path), []
+    history.Order(np.zeros(0, np.uint64), np.zeros(0, np.uint64)).write(f"{root}/order")
+    for name, texts in (("b1", [base]), ("b2", [base[100:] + base[:100], base[:190] + ["otra"] * 10])):
+        rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([" ".join(t) for t in texts])], names=["id", "text"])
+        list(history._place(root, name)(history._scan(root, 1, 0, 64, 1.0)(iter([rows]))))
+    shards = pa.RecordBatch.from_arrays([pa.array([0])], names=["id"])
+    for narrow in (history.NARROW, 0):
+        found = [r for b in history._search(root, 1, "b2", ["b1"], narrow, history.HOT_ROWS)(iter([shards])) for r in b.to_pylist()]
+        assert len({(r["a"], r["b"]) for r in found}) == 1
+
+
 def test_width_of_ranges_changes_no_pair(spark):
     """Texts with few and with many places in wide ranges, in one family: what is found depends on no limit."""
     rng = random.Random(21)
